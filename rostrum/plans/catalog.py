@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import nested
+from ..runtime import table
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 FLAGSHIP = "speaker_segments_daily"
@@ -21,3 +24,37 @@ def query(sql: str | None = None):
         return function
 
     return add
+
+
+def _nodes(spark: SparkSession, folder: str) -> DataFrame:
+    return nested.interval_nodes(table(spark, folder, "raw_xml"), "xml_id", "mods_xml").withColumnRenamed("id", "xml_id")
+
+
+def _kind(spark: SparkSession, folder: str, kind: str, attributes: list[str], text: str | None = None) -> DataFrame:
+    nodes = _nodes(spark, folder).withColumnRenamed("xml_id", "id")
+    return nested.kind_table(nodes, kind, attributes, text).withColumnRenamed("id", "xml_id")
+
+
+@query()
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _nodes(spark, folder).select("xml_id", "kind", "node_no", "parent_no")
+
+
+@query()
+def p2_items(spark: SparkSession, folder: str) -> DataFrame:
+    return _kind(spark, folder, "item", ["ID"])
+
+
+@query()
+def p2_members(spark: SparkSession, folder: str) -> DataFrame:
+    return _kind(spark, folder, "member", ["role", "bioGuideId", "chamber", "congress", "party", "state"])
+
+
+@query()
+def p2_names(spark: SparkSession, folder: str) -> DataFrame:
+    return _kind(spark, folder, "name", ["type"], "name")
+
+
+@query()
+def p2_bills(spark: SparkSession, folder: str) -> DataFrame:
+    return _kind(spark, folder, "bill", ["congress", "context", "number", "type"])
