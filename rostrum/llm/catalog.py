@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import neardup
+from . import neardup, repeated_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +44,32 @@ def p1_classes(spark: SparkSession, folder: str) -> DataFrame:
     """One row per speech of 40 words or more: its class of equal texts and the number of classes that are versions of it."""
     found = neardup.near_duplicates(_speeches(spark, folder), "speech_id", "speech", **VERSIONS)
     return neardup.near_duplicate_degrees(*found).withColumnRenamed("id", "speech_id")
+
+
+@query(
+    r"""
+    with lines as (
+        select speech_id, folder, unnest(string_split(speech, chr(10))) as line,
+               generate_subscripts(string_split(speech, chr(10)), 1) as line_no
+        from parsed_crecb_speeches where speech is not null),
+    keyed as (
+        select *, trim(regexp_replace(lower(line), '[^a-z]+', ' ', 'g')) as k from lines),
+    total as (select folder, count(*) as n from parsed_crecb_speeches where speech is not null group by folder),
+    often as (
+        select folder, k, count(distinct speech_id) as d from keyed where k <> '' group by folder, k having count(distinct speech_id) >= 4)
+    select keyed.speech_id, cast(keyed.line_no as integer) as line_no
+    from keyed join often on keyed.folder is not distinct from often.folder and keyed.k = often.k
+    join total on total.folder is not distinct from keyed.folder
+    where often.d * 100 >= 6 * total.n
+    """
+)
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeated_lines.repeated_lines(_speeches(spark, folder), "speech_id", "speech", "folder")
+    return found.select(F.col("id").alias("speech_id"), "line_no")
+
+
+@query()
+def p3_clean(spark: SparkSession, folder: str) -> DataFrame:
+    narrow = _speeches(spark, folder).select("speech_id", "folder", "speech")
+    clean = repeated_lines.without_repeated_lines(narrow, "speech", "folder", out_col="clean_speech")
+    return clean.select("speech_id", "folder", "clean_speech")
