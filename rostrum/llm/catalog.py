@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import neardup, repeated_lines
+from . import name_variants, neardup, repeated_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,3 +73,10 @@ def p3_clean(spark: SparkSession, folder: str) -> DataFrame:
     narrow = _speeches(spark, folder).select("speech_id", "folder", "speech")
     clean = repeated_lines.without_repeated_lines(narrow, "speech", "folder", out_col="clean_speech")
     return clean.select("speech_id", "folder", "clean_speech")
+
+
+@query()
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    members = table(spark, folder, "mods_members")
+    found = name_variants.link_names(_speeches(spark, folder), "speaker", members, "bioguideid", "parsed_name", "full_name", "state")
+    return found.select(F.col("label").alias("speaker"), F.col("person_id").alias("bioguideid"))
