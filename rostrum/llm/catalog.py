@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import name_variants, neardup, repeated_lines
+from . import name_variants, neardup, repeated_lines, scan_repair
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +80,14 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     members = table(spark, folder, "mods_members")
     found = name_variants.link_names(_speeches(spark, folder), "speaker", members, "bioguideid", "parsed_name", "full_name", "state")
     return found.select(F.col("label").alias("speaker"), F.col("person_id").alias("bioguideid"))
+
+
+@query()
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_repair.faulty_lines(_speeches(spark, folder), "speech_id", "speech").withColumnRenamed("id", "speech_id")
+
+
+@query()
+def p4_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    narrow = _speeches(spark, folder).select("speech_id", "speech")
+    return scan_repair.repair(narrow, "speech", "paragraphs").select("speech_id", "paragraphs")
