@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import name_variants, neardup, repeated_lines, scan_repair
+from . import name_variants, neardup, repeated_lines, scan_repair, speaker_turns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +91,13 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 def p4_repaired(spark: SparkSession, folder: str) -> DataFrame:
     narrow = _speeches(spark, folder).select("speech_id", "speech")
     return scan_repair.repair(narrow, "speech", "paragraphs").select("speech_id", "paragraphs")
+
+
+@query()
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return speaker_turns.turn_starts(_speeches(spark, folder), "speech_id", "speaker", "speech").withColumnRenamed("id", "speech_id")
+
+
+@query()
+def p6_turns(spark: SparkSession, folder: str) -> DataFrame:
+    return speaker_turns.speaker_turns(_speeches(spark, folder), "speech_id", "speaker", "speech").withColumnRenamed("id", "speech_id")
