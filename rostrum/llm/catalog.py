@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import name_variants, neardup, repeated_lines, scan_repair, speaker_turns
+from . import name_variants, neardup, repeated_lines, residue, scan_repair, speaker_turns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -101,3 +101,8 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def p6_turns(spark: SparkSession, folder: str) -> DataFrame:
     return speaker_turns.speaker_turns(_speeches(spark, folder), "speech_id", "speaker", "speech").withColumnRenamed("id", "speech_id")
+
+
+@query()
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return residue.residue(table(spark, folder, "documents"), "doc_id", "text").select(F.col("id").alias("doc_id"))
