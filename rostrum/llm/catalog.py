@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import name_variants, neardup, repeated_lines, residue, scan_repair, speaker_turns
+from . import mixing, name_variants, neardup, packing, repeated_lines, residue, scan_repair, speaker_turns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -106,3 +106,35 @@ def p6_turns(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return residue.residue(table(spark, folder, "documents"), "doc_id", "text").select(F.col("id").alias("doc_id"))
+
+
+def _containers(spark: SparkSession, folder: str) -> DataFrame:
+    # one row per container class
+    classes = [tuple(r) for r in table(spark, folder, "container_sizes").select("container_class", "capacity_tokens").collect()]
+    return packing.pack(table(spark, folder, "documents"), "doc_id", "text", classes)
+
+
+@query()
+def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
+    return _containers(spark, folder).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def p7_fill(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.fill(_containers(spark, folder))
+
+
+def _mixture(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    # one row per target source
+    targets = [tuple(r) for r in table(spark, folder, "mix_targets").select("source", "target_share", "max_repeats").collect()]
+    return mixing.mixture(table(spark, folder, "documents"), "doc_id", "text", "source", targets)
+
+
+@query()
+def p8_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return _mixture(spark, folder)[0].withColumnRenamed("id", "doc_id")
+
+
+@query()
+def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
+    return _mixture(spark, folder)[1]
