@@ -81,18 +81,58 @@ _NAVIGATION = re.compile(
     r"|[<«‹] ?(?:Back|Previous).*|(?:Next|Back|Home|Search|Menu|Login|Sign in|Print|Share|Help|Contact|About)|\[?\[?\s*(?:Page )?[A-Z]?\d{1,6}\]?\]?|[-–—] ?\d+ ?[-–—]|p\. ?\d+|Page \d+)\s*$"
 )
 
-#: Menu entries, headings and the like: a few words that are no sentence.
-_SHORT = re.compile(r"^\W*(?:[\w'’-]+[ ,]*){1,4}(?:\.\.\.|…)?\W*(?<![.?!:;])\s*$|^\W*\w+(?:\.\.\.|…)\s*$")
+#: Characters with which a slot can begin; the shapes are tried only there.
+_OPENS = re.compile(r"[{%$<\[(@#~«X]")
+
+
+def has_slot(text: str) -> bool:
+    text = text.replace("\n", " ")
+    match = SLOT.match
+    return any(match(text, m.start()) for m in _OPENS.finditer(text))
 
 
 def _is_title(line: str) -> bool:
-    letters = [c for c in line if c.isalpha()]
-    return bool(letters) and sum(c.isupper() for c in letters) >= 0.9 * len(letters) and not TRUSTED.match(line)
+    if line.isupper():
+        return True
+    capitals = sum(map(line.count, _CAPITALS))
+    return capitals > 0 and capitals >= 0.9 * sum(c.isalpha() for c in line)
+
+
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: A line longer than this is no title, menu entry or page mark.
+_LONG = 120
+
+
+def passages(text: str) -> list[tuple[str, bool]]:
+    """(line, whether it is trusted residue) of the lines that can hold content: no blank ones, titles or page navigation."""
+    out = []
+    for line in text.split("\n"):
+        if not line or line.isspace():
+            continue
+        if _MAYBE(line) and TRUSTED.match(line):
+            out.append((line, True))
+        elif len(line) > _LONG or not (_is_short(line) or _is_title(line) or _NAVIGATION.match(line)):
+            out.append((line, False))
+    return out
+
+
+#: What every trusted passage begins with or holds; the full patterns are tried only then.
+_MAYBE_WORDS = re.compile(
+    r"^\W*(?:lorem|http|error|[45]\d\d|not found|forbidden|internal|bad |service|gateway|too many|unauthori|\{\"|noscript|javascript|js\b|scripts?\b|client|script "
+    r"|please|enable|turn on|activate|this (?:page|site)|asdf|qwer|zxcv|blah|foo|test)|^([^.]{3,80}\.) ?\1",
+    re.I,
+)
+_MAYBE = _MAYBE_WORDS.search
+_ENDED = (".", "?", "!", ":", ";")
 
 
-def passages(text: str) -> list[str]:
-    """The lines of a text that can hold content: no blank ones, titles or page navigation."""
-    return [x for x in text.split("\n") if x.strip() and (TRUSTED.match(x) or not (_NAVIGATION.match(x) or _SHORT.match(x) or _is_title(x)))]
+def _is_short(line: str) -> bool:
+    """A few words that are no sentence: menu entries, headings and the like."""
+    if len(line) > 60:
+        return False
+    body = line.strip()
+    words_in = body.split()
+    return len(words_in) <= 4 and not body.endswith(_ENDED) or len(words_in) == 1 and body.endswith(("...", "…"))
 
 
 def _score(lines: list[str], odds: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -124,10 +164,10 @@ def _counting(model: Model | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(2 * size + 2)
         for batch in batches:
-            lines = [x for t in batch.column(0).to_pylist() for x in passages(t)]
-            if not lines:
+            found = [x for t in batch.column(0).to_pylist() for x in passages(t)]
+            if not found:
                 continue
-            trusted = np.array([TRUSTED.match(x) is not None for x in lines])
+            lines, trusted = [x for x, _ in found], np.array([t for _, t in found])
             bucket, count, score = _score(lines, None if model is None else model.odds)
             if model is None:
                 weight = trusted.astype(float)
@@ -161,13 +201,16 @@ def learn(df: DataFrame, text_col: str, rounds: int = ROUNDS) -> Model | None:
 
 def verdict(text: str, model: Model | None) -> tuple[bool, float | None]:
     """(whether the text is residue, log odds of its most content-like passage)."""
-    if SLOT.search(text.replace("\n", " ")):
+    if has_slot(text):
         return True, None
-    lines = passages(text)
-    if not lines or model is None:
+    found = passages(text)
+    if not found or model is None:
         return False, None
-    _, count, score = _score(lines, model.odds)
-    trusted = np.array([TRUSTED.match(x) is not None for x in lines])
+    return _decide(found, *_score([x for x, _ in found], model.odds)[1:])
+
+
+def _decide(found: list[tuple[str, bool]], count: np.ndarray, score: np.ndarray) -> tuple[bool, float]:
+    trusted = np.array([t for _, t in found])
     score = np.where(trusted, np.maximum(score, 5.0), score)
     # a record's decision: its passages' evidence, a few words counting for little
     worst = float((score / np.maximum(1, count / 6)).min())
@@ -181,10 +224,17 @@ def residue(df: DataFrame, id_col: str, text_col: str, model: Model | None = Non
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, slot = [], []
+            rest, lines, ends = [], [], [0]  # texts without slots, scored together
             for i, text in enumerate(batch.column(1).to_pylist()):
-                found, worst = verdict(text, model)
-                if found:
-                    at.append(i), slot.append(worst is None)
+                if has_slot(text):
+                    at.append(i), slot.append(True)
+                elif model is not None and (found := passages(text)):
+                    rest.append(i), lines.extend(found), ends.append(len(lines))
+            if rest:
+                _, count, score = _score([x for x, _ in lines], model.odds)
+                for i, a, b in zip(rest, ends[:-1], ends[1:], strict=True):
+                    if _decide(lines[a:b], count[a:b], score[a:b])[0]:
+                        at.append(i), slot.append(False)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(slot, pa.bool_())], names=["id", "has_slot"])
 
     source = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("trim(text) <> ''")
