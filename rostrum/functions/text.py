@@ -150,10 +150,11 @@ def more_than_half_capitals(c: Column | str) -> Column:
 
 def capital_share(line: Column | str, skip: str = "report") -> Column:
     """Share of capitals in the A-Z letters of a line's words, without the word ``skip``; 0 without letters."""
-    bare = F.transform(F.split(_col(line), SPACE + "+"), lambda w: F.regexp_replace(w, "[^A-Za-z]", ""))
-    letters = F.array_join(F.filter(bare, lambda w: F.lower(w) != skip), "")
-    capitals = F.length(F.regexp_replace(letters, "[^A-Z]", ""))
-    return F.when(F.length(letters) > 0, capitals / F.length(letters)).otherwise(F.lit(0.0))
+    other = "[^A-Za-z" + SPACE[1:-1] + "]*"
+    word = "(?i)(?<![^" + SPACE[1:-1] + "])" + other + "".join(c + other for c in skip) + "(?![^" + SPACE[1:-1] + "])"
+    kept = F.regexp_replace(_col(line), word, "")
+    letters = F.regexp_count(kept, F.lit("[A-Za-z]"))
+    return F.when(letters > 0, F.regexp_count(kept, F.lit("[A-Z]")) / letters).otherwise(F.lit(0.0))
 
 
 def alpha_words(line: Column | str) -> Column:

@@ -34,9 +34,13 @@ def titles(files: DataFrame, file: str, text: str = "text") -> DataFrame:
     letters, share = T.letters_in("_body"), T.capital_share("_body")
     count = T.alpha_words("_body")
     lines = lines.withColumn("_body", body).withColumn("start", F.coalesce(F.sum(F.length("line") + 1).over(before), F.lit(0)))
-    blank = F.col("_body") == ""
     looks = (letters >= 8) & (share >= 0.60)
-    ahead = F.first(F.when(~blank, looks), ignorenulls=True).over(window.rowsBetween(1, W.unboundedFollowing))
+    lines = lines.withColumn("_blank", F.col("_body") == "").withColumn("_looks", looks).withColumn("_count", count)
+    blank, looks, count = F.col("_blank"), F.col("_looks"), F.col("_count")
+    # the next line that isn't blank, seen from behind: a frame that only grows
+    behind = W.partitionBy(file).orderBy(F.desc("line_no")).rowsBetween(W.unboundedPreceding, -1)
+    lines = lines.withColumn("_ahead", F.last(F.when(~blank, looks), ignorenulls=True).over(behind))
+    ahead = F.col("_ahead")
     # S opens a block or goes on with it, K goes on with an open one, N closes it
     kind = (
         F.when(blank, F.when(F.coalesce(ahead, F.lit(False)), "K").otherwise("N"))

@@ -317,11 +317,12 @@ def strip_assigned_title(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     r"""with f as (select distinct filename from parsed_crecb_speeches where filename is not null),
     d as (select filename, try_strptime(regexp_extract(filename, '(?i)([A-Za-z]+ [0-9]{1,2}, [0-9]{4})', 1), '%B %d, %Y')::date as found from f)
-    select filename, found as file_date, case when found is not null then (year(found) // 10 * 10) || 's' end as file_decade from d"""
+    select filename, strftime(found, '%Y-%m-%d') as file_date, case when found is not null then (year(found) // 10 * 10) || 's' end as file_decade from d"""
 )
 def filename_dates(spark: SparkSession, folder: str) -> DataFrame:
     f = table(spark, folder, "parsed_crecb_speeches").where("filename is not null").select("filename").distinct()
-    return f.withColumn("file_date", T.filename_date("filename")).withColumn("file_decade", T.decade("file_date"))
+    dated = f.withColumn("_date", T.filename_date("filename"))
+    return dated.select("filename", F.date_format("_date", "yyyy-MM-dd").alias("file_date"), T.decade("_date").alias("file_decade"))
 
 
 @query(
