@@ -28,6 +28,7 @@ from .shingles import words
 
 BUCKET_BITS = 15
 ROUNDS = 3
+SLICE = 1000  #: texts held as Python strings at a time
 
 _WORDS = r"[A-Za-z][A-Za-z]*(?:[ _.-]?[A-Za-z]+){0,4}"
 SLOT = re.compile(
@@ -163,7 +164,7 @@ def _counting(model: Model | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(2 * size + 2)
-        for batch in batches:
+        for batch in (b.slice(a, SLICE) for b in batches for a in range(0, b.num_rows, SLICE)):
             found = [x for t in batch.column(0).to_pylist() for x in passages(t)]
             if not found:
                 continue
@@ -222,7 +223,7 @@ def residue(df: DataFrame, id_col: str, text_col: str, model: Model | None = Non
     model = learn(df, text_col) if model is None else model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(a, SLICE) for b in batches for a in range(0, b.num_rows, SLICE)):
             at, slot = [], []
             rest, lines, ends = [], [], [0]  # texts without slots, scored together
             for i, text in enumerate(batch.column(1).to_pylist()):

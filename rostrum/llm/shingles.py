@@ -49,6 +49,8 @@ def _utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+_BLOCK = 1 << 18
+
 _POWER_BASE = np.uint64(0x100000001B3)
 _POWER_BACK = np.uint64(pow(0x100000001B3, -1, 1 << 64))
 
@@ -70,17 +72,16 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word in order, number of words before each text; n + 1 entries).
 
-    The hash of a word is a difference of one running polynomial sum over all
-    bytes, scaled back by the power at the word's start.
+    The hash of a word is a difference of one running polynomial sum over a block
+    of bytes, scaled back by the power at the word's start.
     """
     data, offsets = _utf8(texts)
     none = np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     if not len(data):
         return none
-    value = _WORD_TABLE[data]
     inside = np.empty(len(data) + 2, bool)
     inside[0] = inside[-1] = False
-    np.greater(value, 0, out=inside[1:-1])
+    np.take(_IS_WORD, data, out=inside[1:-1])
     starts = np.flatnonzero(inside[1:-1] & ~inside[:-2])
     ends = np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
     # a word that touches the next text's first byte is cut at the border
@@ -91,12 +92,16 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         starts, ends = np.sort(np.append(starts, edge)), np.sort(np.append(ends, edge))
     if not len(starts):
         return none
-    power, back = _powers(len(data) + 1)
-    np.multiply(value, power[: len(value)], out=value)
-    total = np.empty(len(value) + 1, np.uint64)
-    total[0] = 0
-    np.cumsum(value, out=total[1:])
-    hashed = (total[ends] - total[starts]) * back[starts]
+    hashed = np.empty(len(starts), np.uint64)
+    # blocks of bounded size, however long a text is; a word belongs to the block it starts in
+    cuts = np.unique(np.append(np.searchsorted(starts, np.arange(0, len(data), _BLOCK)), len(starts)))
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        first, last = starts[a], ends[b - 1]
+        power, back = _powers(int(last - first) + 1)
+        total = np.empty(last - first + 1, np.uint64)
+        total[0] = 0
+        np.cumsum(_WORD_TABLE[data[first:last]] * power[: last - first], out=total[1:])
+        hashed[a:b] = (total[ends[a:b] - first] - total[starts[a:b] - first]) * back[starts[a:b] - first]
     return mix64(hashed + (ends - starts).astype(np.uint64) * _MUL), np.searchsorted(starts, offsets)
 
 
