@@ -184,10 +184,13 @@ def malformed(df: DataFrame, id_col: str, xml_col: str) -> DataFrame:
 
 
 def kind_table(nodes: DataFrame, kind: str, attributes: list[str], text: str | None = None) -> DataFrame:
-    """The flat table of one kind: id, its number, its parent's number, its interval and one column per attribute."""
+    """The flat table of one kind: id, its number, its parent's number, its interval and one column per attribute.
+
+    An attribute named like one of the table's own columns gets the suffix ``_attribute``.
+    """
 
     def attribute(a: str) -> Column:
-        return F.col("attributes")[a].alias(a)
+        return F.col("attributes")[a].alias(f"{a}_attribute" if a.lower() in ("id", "node_no", "parent_no", "pre", "post") else a)
 
     columns = [F.col(c) for c in ("id", "node_no", "parent_no", "pre", "post")] + [attribute(a) for a in attributes]
     return nodes.where(F.col("kind") == kind).select(*columns, *([F.col("text").alias(text)] if text else []))
