@@ -28,6 +28,7 @@ from .shingles import words
 
 BUCKET_BITS = 15
 ROUNDS = 3
+COMPANION = 25  #: words of a passage that may go with a trusted one
 SLICE = 1000  #: texts held as Python strings at a time
 
 _WORDS = r"[A-Za-z][A-Za-z]*(?:[ _.-]?[A-Za-z]+){0,4}"
@@ -165,13 +166,18 @@ def _counting(model: Model | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(2 * size + 2)
         for batch in (b.slice(a, SLICE) for b in batches for a in range(0, b.num_rows, SLICE)):
-            found = [x for t in batch.column(0).to_pylist() for x in passages(t)]
+            found, beside = [], []
+            for text in batch.column(0).to_pylist():
+                own = passages(text)
+                found += own
+                beside += [any(t for _, t in own)] * len(own)
             if not found:
                 continue
             lines, trusted = [x for x, _ in found], np.array([t for _, t in found])
             bucket, count, score = _score(lines, None if model is None else model.odds)
             if model is None:
-                weight = trusted.astype(float)
+                # at first, a short passage beside a trusted one may be either
+                weight = np.where(trusted, 1.0, np.where(np.array(beside) & (count <= COMPANION), 0.5, 0.0))
             else:
                 weight = np.where(trusted, 1.0, 1 / (1 + np.exp(-np.clip(score + model.prior, -50, 50))))
             each = np.repeat(weight, count)

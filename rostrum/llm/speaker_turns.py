@@ -200,7 +200,16 @@ bracket = first(
     seq(token(r"<"), many(first(inner, token(r"[^\[\](){}<>\n]+"))), token(r">")),
     seq(token(r"\*"), token(r"[A-Za-z][A-Za-z ,.'-]{1,40}"), token(r"\*")),
 )
-sound = node("sound", seq(ahead(token(rf"[\[(<*][^\n]{{0,80}}?\b{_SOUNDS}\b", re.I)), bracket))
+_SOUND = re.compile(rf"\b{_SOUNDS}\b", re.I)
+
+
+def _sounding(text: str, at: int):
+    """A bracket that names a sound somewhere inside."""
+    found = bracket(text, at)
+    return found if found is not None and _SOUND.search(text, at, found[0]) else None
+
+
+sound = node("sound", _sounding)
 time_note = node("time", seq(stamp, unless(token(r"\d"))))
 hesitation = node(
     "hesitation",
