@@ -21,8 +21,12 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: The same characters one by one, for trimming.
+SPACES = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def strip(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(_col(c), F.lit(SPACES))
 
 
 def universal_newlines(c: Column | str) -> Column:
@@ -152,14 +156,15 @@ def capital_share(line: Column | str, skip: str = "report") -> Column:
     """Share of capitals in the A-Z letters of a line's words, without the word ``skip``; 0 without letters."""
     other = "[^A-Za-z" + SPACE[1:-1] + "]*"
     word = "(?i)(?<![^" + SPACE[1:-1] + "])" + other + "".join(c + other for c in skip) + "(?![^" + SPACE[1:-1] + "])"
-    kept = F.regexp_replace(_col(line), word, "")
+    kept = F.when(F.lower(_col(line)).contains(skip), F.regexp_replace(_col(line), word, "")).otherwise(_col(line))
     letters = F.regexp_count(kept, F.lit("[A-Za-z]"))
     return F.when(letters > 0, F.regexp_count(kept, F.lit("[A-Z]")) / letters).otherwise(F.lit(0.0))
 
 
 def alpha_words(line: Column | str) -> Column:
     """Number of blank-separated words with an A-Z letter."""
-    return F.size(F.filter(F.split(_col(line), SPACE + "+"), lambda w: w.rlike("[A-Za-z]")))
+    blank = SPACE[1:-1]
+    return F.regexp_count(_col(line), F.lit(f"[^A-Za-z{blank}]*+[A-Za-z][^{blank}]*+"))
 
 
 def capital_words(line: Column | str) -> Column:
@@ -176,9 +181,7 @@ def is_boilerplate_title(line: Column | str) -> Column:
     """Lines that name the record, the printer or its seal, and so never are titles."""
     low = F.lower(_col(line))
     letters = F.regexp_replace(low, "[^a-z]", "")
-    words = F.regexp_extract_all(low, F.lit("[a-z]+"), 0)
-    seal = F.array(*map(F.lit, ("gpo", "authenticated", "authentication", "authentic", "information")))
-    only_seal = (F.size(words) > 0) & (F.size(F.array_except(words, seal)) == 0)
+    only_seal = low.rlike("^[^a-z]*(?:(?:gpo|authenticated|authentication|authentic|information)(?![a-z])[^a-z]*)+$")
     return letters.contains("congressionalrecord") | letters.isin("usgovernment", "usgoverment") | only_seal
 
 

@@ -74,12 +74,11 @@ def reasons(lines: DataFrame, keys: list[str]) -> DataFrame:
     """Adds ``clean_line`` and ``reason`` (NULL: the line stays) to lines (keys, line_no, line)."""
     ship(lines.sparkSession)
     line = F.col("clean_line")
-    up = F.upper(strip(line))
-    bare = strip(line)
+    up, bare = F.col("_up"), F.col("_bare")
     year = F.when(bare.rlike("^[0-9]{4}$"), bare.cast("int"))
     house = _similar(up, HOUSE, 0.90, 20, 29) & more_than_half_capitals(line)
     senate = _similar(up, SENATE, 0.83, 5, 8) & more_than_half_capitals(line)
-    named = lines.withColumn("clean_line", normalize_line("line"))
+    named = lines.withColumn("clean_line", normalize_line("line")).withColumn("_bare", strip(line)).withColumn("_up", F.upper("_bare"))
     first = (
         F.when(year.between(1873, 1994), "hdr_year_1873_1994")
         .when(up.contains(RECORD) & names_only_record(line), "hdr_contains_CONGRESSIONAL_RECORD")
@@ -100,7 +99,7 @@ def reasons(lines: DataFrame, keys: list[str]) -> DataFrame:
         F.when(skipped, "hdr_skip_next_after_chamber_header"),
         F.when(nearly_contains_record(line), "fuzzy_CONGRESSIONAL_RECORD_lev_leq1"),
     )
-    return named.withColumn("reason", reason).drop("_first", "_chain", "_after")
+    return named.withColumn("reason", reason).drop("_first", "_chain", "_after", "_bare", "_up")
 
 
 def text_lines(df: DataFrame, keys: list[str], text: str) -> DataFrame:
