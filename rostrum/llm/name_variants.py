@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from ..runtime import ship
 
+LONGEST_LABEL = 300  #: characters; what is longer is a text, not a name
 MIN_SUFFIX, COMMON, LEAST_RATIO, MOST_SLIPS = 3, 12, 0.72, 2
 
 #: Postal codes of the states and territories.
@@ -78,6 +79,8 @@ _JUNIOR = {"JR", "SR", "II", "III", "IV"}
 
 def parse_label(label: str) -> dict | None:
     """title, sex, state and the possible [surname letters, given names] of a label; None for officers and non-names."""
+    if len(label) > LONGEST_LABEL:
+        return None
     text = re.sub(r"[\s  -​ ﻿]+", " ", label).strip().upper().replace("’", "'")
     text = re.sub(r"(?<=[A-Z])- (?=[A-Z])", "", text)  # a word broken at a line's end
     if re.match(r"^[TF]HE\b", text):

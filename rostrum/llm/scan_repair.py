@@ -227,11 +227,28 @@ def _word_fault(core: str, lexicon: Lexicon, around: list[str]) -> str | None:
     return None
 
 
+#: Longer tokens are no words (addresses, rules, data).
+_LONGEST = 60
+
+
+def _broken_end(line: str) -> re.Match | None:
+    """The piece of a word (group 1) with a hyphen at the end of a line."""
+    tail = line.rstrip()
+    if tail[-1:] not in _HYPHENS or not tail:
+        return None
+    return _PIECE.search(line, max(0, len(tail) - _LONGEST))
+
+
+_PIECE = re.compile(rf"([^\W\d_][\w{re.escape(STRAY)}!†]*)[{_HYPHENS}]\s*$")
+
+
 def _tokens(line: str) -> list[tuple[int, str]]:
     """(place, core) of the tokens of a line, without outer punctuation (a misread letter at an end is kept)."""
     out = []
     for m in re.finditer(r"\S+", line):
         raw = m[0]
+        if len(raw) > _LONGEST:
+            continue
         start, end = 0, len(raw)
         while start < end and not (raw[start].isalnum() or raw[start] in "†" or raw[start] in "!|" and raw[start + 1 : start + 2].islower()):
             start += 1
@@ -254,8 +271,7 @@ def faults(text: str, lexicon: Lexicon, fixes: list | None = None) -> list[tuple
     skip: set[tuple[int, int]] = set()  # (line, place) of pieces of broken words
     glyph: set[int] = set()
     for k, i in enumerate(running):
-        end = re.search(rf"([^\W\d_][\w{re.escape(STRAY)}!†]*)[{_HYPHENS}]\s*$", lines[i])
-        if not end or not tokens[i]:
+        if not tokens[i] or not _broken_end(lines[i]):
             continue
         last_place, last = tokens[i][-1]
         piece = re.split(r"[-–—]", last.lower())[-1]
@@ -319,7 +335,7 @@ def repaired(text: str, lexicon: Lexicon) -> str:
     for i, place, core, word in sorted((f for f in fixes if f[1] is not None), key=lambda f: -f[1]):
         lines[i] = lines[i][:place] + _cased(core, word) + lines[i][place + len(core) :]
     for i, (j, word) in joins.items():
-        stem = re.search(rf"([^\W\d_][\w{re.escape(STRAY)}!†]*)[{_HYPHENS}]\s*$", lines[i])
+        stem = _broken_end(lines[i])
         nxt = re.match(r"\s*([^\s–—-]+)(.*)$", lines[j], re.S)
         if stem and nxt:
             tail = re.search(r"[.,;:?!)\]\"'”’]*$", nxt[1])[0]

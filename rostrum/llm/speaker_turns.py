@@ -203,10 +203,18 @@ bracket = first(
 _SOUND = re.compile(rf"\b{_SOUNDS}\b", re.I)
 
 
+_NOTE = 300
+
+
 def _sounding(text: str, at: int):
-    """A bracket that names a sound somewhere inside."""
-    found = bracket(text, at)
-    return found if found is not None and _SOUND.search(text, at, found[0]) else None
+    """A bracket that names a sound somewhere inside; notes are no longer than ``_NOTE`` characters, and few deep."""
+    if not _SOUND.search(text, at, at + _NOTE):
+        return None
+    try:
+        found = bracket(text[at : at + _NOTE], 0)
+    except RecursionError:
+        return None
+    return (at + found[0], ()) if found is not None and _SOUND.search(text, at, at + found[0]) else None
 
 
 sound = node("sound", _sounding)

@@ -73,6 +73,13 @@ def test_scan_operator_rows(spark, corpus):
     assert scan_repair.faulty_lines(df.limit(0), "speech_id", "speech").count() == 0
 
 
+def test_pathological_texts(lexicon):
+    page = PAGE + "\n" + "x" * 500_000 + "\n" + "y" * 300_000 + "-\nend of it"
+    assert [f for f in scan_repair.faults(page, lexicon) if f[0] < 11] == scan_repair.faults(PAGE, lexicon)
+    deep = "(" * 3000 + "laughter" + ")" * 3000
+    assert speaker_turns.clean(deep) and len(speaker_turns.turns("[" * 5000 + "Mr. SMITH. " * 5000, "x" * 100_000)) == 1
+
+
 def test_peg():
     word = node("word", token(r"[a-z]+"))
     tree = many(seq(word, token(r"\s*")))("ab cd", 0)
