@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import cut
+
 
 def line_key(line: Column) -> Column:
     """64-bit hash of the sequence of a-z runs of the lower-cased line; NULL without any."""
@@ -41,8 +43,15 @@ def frequent_keys(df: DataFrame, text_col: str, source_col: str, share_percent:
     )
 
 
+#: Keys (8 bytes each) of all sources together that are broadcast; more are joined by a shuffle.
+BROADCAST_KEYS = 500_000
+
+
 def _with_keys(df: DataFrame, text_col: str, source_col: str, share_percent: int, least: int) -> DataFrame:
-    keys = frequent_keys(df, text_col, source_col, share_percent, least).select(F.col("source").alias("_source"), F.col("keys").alias("_keys"))
+    keys = cut(frequent_keys(df, text_col, source_col, share_percent, least).select(F.col("source").alias("_source"), F.col("keys").alias("_keys")))
+    held = keys.agg(F.sum(F.size("_keys"))).first()[0] or 0
+    if held <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
     return df.join(keys, F.col(source_col).eqNullSafe(F.col("_source")), "left").drop("_source")
 
 
