@@ -127,7 +127,8 @@ def p7_fill(spark: SparkSession, folder: str) -> DataFrame:
 def _mixture(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     # one row per target source
     targets = [tuple(r) for r in table(spark, folder, "mix_targets").select("source", "target_share", "max_repeats").collect()]
-    return mixing.mixture(table(spark, folder, "documents"), "doc_id", "text", "source", targets)
+    # target_share is of all tokens of the table, so a source that can't fill its share stops at its cap
+    return mixing.mixture(table(spark, folder, "documents"), "doc_id", "text", "source", targets, size=mixing.ALL)
 
 
 @query()

@@ -1,8 +1,9 @@
 """A mixture of sources at target shares of its tokens.
 
 1. Tokens are counted per source.  The mixture's size T is the largest at which no
-   source needs more than ``max_repeats`` rounds over its texts (or a given size, at
-   which sources that reach their cap fall short).  A source's quota is share * T.
+   source needs more than ``max_repeats`` rounds over its texts, or a given size, at
+   which sources that reach their cap fall short; ``ALL`` is the number of tokens of
+   the whole table, texts without a target source included.  A source's quota is share * T.
 2. Each source's texts are put into a random order per round by a hash.  Running
    token sums are exact and distributed: sums per leading hash bits first, then
    within those buckets.  A text belongs to the mixture if more than half of it
@@ -33,6 +34,10 @@ from ..runtime import cut, ship
 from .tokens import TOKENIZER, token_counts
 
 
+#: The size of a mixture as large as its table.
+ALL = -1
+
+
 def quotas(tokens: dict[str, int], targets: list[tuple[str, float, int]], size: int | None = None) -> dict[str, int]:
     """Tokens to draw from each source."""
     useful = [(s, share, repeats) for s, share, repeats in targets if s is not None and share and share > 0 and repeats and repeats > 0]
@@ -83,7 +88,8 @@ def mixture(
 
     rows: shard, place (order in the shard), source, id, round (1 = first use),
     n_tokens.  shares: source, target_share, tokens, max_repeats, quota_tokens,
-    drawn_tokens, rounds, actual_share.
+    drawn_tokens, rounds, actual_share (of the tokens drawn), table_share (of the size
+    asked for: below target_share where a source falls short).
     """
     spark = df.sparkSession
     ship(spark)
@@ -94,13 +100,19 @@ def mixture(
             n = pa.array(token_counts(batch.column(2).to_pylist(), tokenizer), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), n], names=["id", "source", "n_tokens"])
 
-    chosen = df.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("text")).where(
-        F.col("source").isin(names) & (F.col("text") != "")
-    )
+    known = F.coalesce(F.col("source").isin(names), F.lit(False))
+    chosen = df.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("text")).where(F.col("text") != "")
+    if size != ALL:
+        chosen = chosen.where(known)
     kind = chosen.schema["id"].dataType.simpleString()
-    sized = cut(chosen.mapInArrow(count, f"id {kind}, source string, n_tokens int").where("n_tokens > 0"))
-    # one row per target source comes to the driver
-    tokens = {r["source"]: r["n"] for r in sized.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}
+    counted = cut(chosen.mapInArrow(count, f"id {kind}, source string, n_tokens int").where("n_tokens > 0"))
+    # one row per target source, and one for the others, comes to the driver
+    name = F.when(known, F.col("source"))
+    tokens = {r["source"]: r["n"] for r in counted.groupBy(name.alias("source")).agg(F.sum("n_tokens").alias("n")).collect()}
+    if size == ALL:
+        size = sum(tokens.values())
+    tokens.pop(None, None)
+    sized = counted.where(known)
     quota = quotas(tokens, targets, size)
     rounds = {s: -(-q // tokens[s]) for s, q in quota.items() if q > 0}
     plan = spark.createDataFrame(
@@ -152,6 +164,8 @@ def mixture(
     report = wanted.join(drawn, "source", "left").fillna(0, ["drawn_tokens", "rounds"])
     total = F.sum("drawn_tokens").over(W.partitionBy())
     shares = report.withColumn("actual_share", F.when(total > 0, F.col("drawn_tokens") / total).otherwise(F.lit(0.0)))
+    whole = F.lit(size) if size is not None else total
+    shares = shares.withColumn("table_share", F.when(whole > 0, F.col("drawn_tokens") / whole).otherwise(F.lit(0.0)))
     return rows, shares
 
 

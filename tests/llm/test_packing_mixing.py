@@ -86,5 +86,19 @@ def test_mixture(spark, docs):
     assert empty_rows.count() == 0 and {r.actual_share for r in empty_shares.collect()} == {0.0}
 
 
+def test_mixture_queries_fill_the_table(spark, tmp_path):
+    text = "one two three four five"
+    data = [(i, text, "a") for i in range(60)] + [(100 + i, text, None) for i in range(38)] + [(200, text, "b"), (201, text, "other")]
+    spark.createDataFrame(data, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    targets = [("a", 0.5, 1), ("b", 0.5, 4)]
+    spark.createDataFrame(targets, "source string, target_share double, max_repeats int").write.parquet(f"{tmp_path}/mix_targets.parquet")
+    report = {r.source: r for r in catalog.p8_shares(spark, str(tmp_path)).collect()}
+    each = report["b"].tokens
+    # half of the table's 100 texts from a; b stops at four uses of its only text
+    assert report["a"].drawn_tokens == 50 * each and report["b"].drawn_tokens == 4 * each
+    assert report["a"].table_share == 0.5 and report["b"].table_share == 0.04 and abs(report["b"].actual_share - 4 / 54) < 1e-9
+    assert catalog.p8_mixture(spark, str(tmp_path)).count() == 54
+
+
 def test_catalog():
     assert set(catalog.ORACLES) <= set(catalog.QUERIES) and all(n.startswith("p") for n in catalog.QUERIES)
