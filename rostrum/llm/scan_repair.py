@@ -245,20 +245,28 @@ _PIECE = re.compile(rf"([^\W\d_][\w{re.escape(STRAY)}!†]*)[{_HYPHENS}]\s*$")
 def _tokens(line: str) -> list[tuple[int, str]]:
     """(place, core) of the tokens of a line, without outer punctuation (a misread letter at an end is kept)."""
     out = []
-    for m in re.finditer(r"\S+", line):
-        raw = m[0]
-        if len(raw) > _LONGEST:
-            continue
+    for place, raw in _pieces(line):
         start, end = 0, len(raw)
         while start < end and not (raw[start].isalnum() or raw[start] in "†" or raw[start] in "!|" and raw[start + 1 : start + 2].islower()):
             start += 1
         while end > start and not (raw[end - 1].isalnum() or raw[end - 1] == "†"):
             end -= 1
         if start < end:
-            out.append((m.start() + start, raw[start:end]))
+            out.append((place + start, raw[start:end]))
     return out
 
 
+def _pieces(line: str) -> Iterator[tuple[int, str]]:
+    """(place, token) between blanks; one of more than ``_LONGEST`` characters is split at its dashes, and only longer pieces are left out."""
+    for m in re.finditer(r"\S+", line):
+        if len(m[0]) <= _LONGEST:
+            yield m.start(), m[0]
+            continue
+        for piece in re.finditer(rf"[^{_HYPHENS}–—]+", m[0]):
+            if len(piece[0]) <= _LONGEST:
+                yield m.start() + piece.start(), piece[0]
+
+
 def faults(text: str, lexicon: Lexicon, fixes: list | None = None) -> list[tuple[int, str]]:
     """(line_no, kind) of the faulty lines of one text.  ``fixes`` gets (line index, place, core, word) and joins (line index, None, next index, word)."""
     lines = text.split("\n")

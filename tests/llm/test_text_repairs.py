@@ -144,3 +144,9 @@ def test_residue_operator(spark):
     want = [(i,) for i in range(len(content), len(content) + len(bad))] + [(len(texts) - 1,)]
     assert rows(residue.residue(df, "doc_id", "text").select("id")) == sorted(want, key=repr)
     assert residue.residue(df.limit(0), "doc_id", "text").count() == 0
+
+
+def test_misread_words_in_long_chains(lexicon):
+    chain = "before—this—committee—and—harbor—council—should—improve—their—budgct—settlement"
+    assert len(chain) > 60
+    assert (2, "glyph") in scan_repair.faults(f"The member will examine every\n{chain}\nand the western\nreform.", lexicon)
