@@ -97,11 +97,14 @@ def _is_title(line: str) -> bool:
     if line.isupper():
         return True
     capitals = sum(map(line.count, _CAPITALS))
-    return capitals > 0 and capitals >= 0.9 * sum(c.isalpha() for c in line)
+    # the commonest small letters alone rule most lines out
+    if not capitals or capitals < 0.9 * (capitals + sum(map(line.count, "etao"))):
+        return False
+    return capitals >= 0.9 * sum(c.isalpha() for c in line)
 
 
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: A line longer than this is no title, menu entry or page mark.
+#: A line longer than this is no menu entry or page mark.
 _LONG = 120
 
 
@@ -113,7 +116,7 @@ def passages(text: str) -> list[tuple[str, bool]]:
             continue
         if _MAYBE(line) and TRUSTED.match(line):
             out.append((line, True))
-        elif len(line) > _LONG or not (_is_short(line) or _is_title(line) or _NAVIGATION.match(line)):
+        elif not (_is_title(line) or len(line) <= _LONG and (_is_short(line) or _NAVIGATION.match(line))):
             out.append((line, False))
     return out
 
@@ -121,7 +124,7 @@ def passages(text: str) -> list[tuple[str, bool]]:
 #: What every trusted passage begins with or holds; the full patterns are tried only then.
 _MAYBE_WORDS = re.compile(
     r"^\W*(?:lorem|http|error|[45]\d\d|not found|forbidden|internal|bad |service|gateway|too many|unauthori|\{\"|noscript|javascript|js\b|scripts?\b|client|script "
-    r"|please|enable|turn on|activate|this (?:page|site)|asdf|qwer|zxcv|blah|foo|test)|^([^.]{3,80}\.) ?\1",
+    r"|please|enable|turn on|activate|this (?:page|site)|asdf|qwer|zxcv|blah|foo|test)|^\W*([^.]{3,80}\.) ?\1",
     re.I,
 )
 _MAYBE = _MAYBE_WORDS.search

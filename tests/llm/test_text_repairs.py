@@ -150,3 +150,8 @@ def test_misread_words_in_long_chains(lexicon):
     chain = "before—this—committee—and—harbor—council—should—improve—their—budgct—settlement"
     assert len(chain) > 60
     assert (2, "glyph") in scan_repair.faults(f"The member will examine every\n{chain}\nand the western\nreform.", lexicon)
+
+
+def test_fillers_behind_marks_and_long_titles():
+    assert residue.passages("- Dummy text. Dummy text. Dummy text.") == [("- Dummy text. Dummy text. Dummy text.", True)]
+    assert residue.passages("TITLE OF AN ACT " * 12) == []
