@@ -50,7 +50,7 @@ mixed_word = token(rf"(?:[A-Z]['’])?[A-Z][A-Za-z'’]*{_BROKEN}")
 upper_name = node("name", seq(many(seq(initial, gap)), upper_word, many(seq(gap, unless(token(r"of\b")), first(initial, upper_word)))))
 mixed_name = node("name", seq(many(seq(initial, gap)), mixed_word, many(seq(gap, unless(token(r"of\b")), first(initial, mixed_word)))))
 state = node("state", seq(gap, token(r"of\b"), gap, token(r"[A-Z][A-Za-z]+(?:\s+[A-Z][a-z]+)?")))
-remark = node("remark", seq(maybe(gap), first(token(r"\[[^\]\[]{0,60}\]"), token(r"\([^()]{0,60}\)"))))
+remark = node("remark", seq(maybe(gap), first(token(r"\[[^\]\[]*\]"), token(r"\([^()]*\)"))))
 dash = token(r"[ \t]*(?:--+|—|–)")
 full_stop = seq(token(r"\."), ahead(token(r"\s|$|[\[(*<{]")))
 colon = token(r"[ \t]*:(?=\s|$)")
@@ -203,15 +203,32 @@ bracket = first(
 _SOUND = re.compile(rf"\b{_SOUNDS}\b", re.I)
 
 
-_NOTE = 300
+_BRACKETS = re.compile(r"[\[\](){}<>]")
+_CLOSED_BY = {"[": "]", "(": ")", "<": ">"}
+_DEEP = 100
+
+
+def _close(text: str, at: int) -> int | None:
+    """End of the bracket that opens at a place; None if it isn't closed, or more than ``_DEEP`` deep."""
+    waiting = []
+    for m in _BRACKETS.finditer(text, at):
+        if m[0] in _CLOSED_BY and len(waiting) < _DEEP:
+            waiting.append(_CLOSED_BY[m[0]])
+        elif not waiting or m[0] != waiting.pop():
+            return None
+        if not waiting:
+            return m.end()
+    return None
 
 
 def _sounding(text: str, at: int):
-    """A bracket that names a sound somewhere inside; notes are no longer than ``_NOTE`` characters, and few deep."""
-    if not _SOUND.search(text, at, at + _NOTE):
+    """A bracket that names a sound somewhere inside."""
+    # a remark between asterisks has 40 letters or so at most
+    end = _close(text, at) if text[at : at + 1] in _CLOSED_BY else at + 50
+    if end is None or not _SOUND.search(text, at, end):
         return None
     try:
-        found = bracket(text[at : at + _NOTE], 0)
+        found = bracket(text[at:end], 0)
     except RecursionError:
         return None
     return (at + found[0], ()) if found is not None and _SOUND.search(text, at, at + found[0]) else None

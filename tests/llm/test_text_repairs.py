@@ -155,3 +155,11 @@ def test_misread_words_in_long_chains(lexicon):
 def test_fillers_behind_marks_and_long_titles():
     assert residue.passages("- Dummy text. Dummy text. Dummy text.") == [("- Dummy text. Dummy text. Dummy text.", True)]
     assert residue.passages("TITLE OF AN ACT " * 12) == []
+
+
+def test_long_remarks_and_notes():
+    remark = "speaking on behalf of the committee on the whole state of the Union, and for the clerk"
+    got = speaker_turns.turns(f"I rise.\nMr. ROE ({remark}). I object.", "Mr. SMITH")
+    assert [w for _, w, *_ in got][1:] == ["ROE"]
+    note = "[" + "the galleries being full, " * 15 + "applause]"
+    assert speaker_turns.clean(f"I rise {note} to speak.") == "I rise to speak."
