@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from ..runtime import ship
 
 LONGEST_LABEL = 300  #: characters; what is longer is a text, not a name
+SHORT_NAME = 5  #: letters; up to so many, blocks also hold the name with one letter left out
 MIN_SUFFIX, COMMON, LEAST_RATIO, MOST_SLIPS = 3, 12, 0.72, 2
 
 #: Postal codes of the states and territories.
@@ -79,9 +80,9 @@ _JUNIOR = {"JR", "SR", "II", "III", "IV"}
 
 def parse_label(label: str) -> dict | None:
     """title, sex, state and the possible [surname letters, given names] of a label; None for officers and non-names."""
-    if len(label) > LONGEST_LABEL:
-        return None
     text = re.sub(r"[\s  -​ ﻿]+", " ", label).strip().upper().replace("’", "'")
+    if len(text) > LONGEST_LABEL:
+        return None
     text = re.sub(r"(?<=[A-Z])- (?=[A-Z])", "", text)  # a word broken at a line's end
     if re.match(r"^[TF]HE\b", text):
         return None
@@ -175,7 +176,9 @@ def slips(a: str, b: str, most: int) -> int:
 def suffix_keys(name: str) -> list[str]:
     """The suffixes of the name and of its beginnings, cut to MIN_SUFFIX letters, and its shorter end with its first letter."""
     ends = {name[i - MIN_SUFFIX : i] for i in range(MIN_SUFFIX, len(name) + 1)} or {name}
-    return sorted(ends | {f"{name[-2:]}/{name[0]}"})
+    # a fault in a short name may touch every piece of it
+    short = {f"{name[:i]}{name[i + 1 :]}~" for i in range(len(name))} | {f"{name}~"} if len(name) <= SHORT_NAME else set()
+    return sorted(ends | {f"{name[-2:]}/{name[0]}"} | short)
 
 
 
