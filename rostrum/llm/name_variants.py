@@ -226,8 +226,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             slip.append(d)
         out = batch.take(pa.array(at, pa.int64()))
         yield pa.RecordBatch.from_arrays(
-            [out.column("label"), out.column("person_id"), out.column("surname"), out.column("person_sex"), pa.array(score, pa.int32()), pa.array(slip, pa.int32())],
-            names=["label", "person_id", "surname", "person_sex", "score", "slips"],
+            [out.column("label"), out.column("person_id"), out.column("surname"), out.column("person_surname"), out.column("person_sex"), pa.array(score, pa.int32()), pa.array(slip, pa.int32())],
+            names=["label", "person_id", "surname", "person_surname", "person_sex", "score", "slips"],
         )
 
 
@@ -283,14 +283,17 @@ def link_names(labels: DataFrame, label_col: str, persons: DataFrame, id_col: st
         .drop("block")
         .distinct()
     )
-    compared = pairs.mapInArrow(_compare, "label string, person_id string, surname string, person_sex string, score int, slips int")
+    compared = pairs.mapInArrow(_compare, "label string, person_id string, surname string, person_surname string, person_sex string, score int, slips int")
     # titles with which each surname occurs
     borne = parsed.groupBy("surname").agg(
         F.collect_set("sex").alias("sexes"), F.max((~F.coalesce("title", F.lit("")).isin(*_SEX, *_NEUTRAL)).cast("int")).alias("foreign")
     )
+    # sexes of the members of a near surname whom labels of this spelling fit
+    near = compared.groupBy("surname", "person_surname").agg(F.collect_set("person_sex").alias("near_sexes"))
     fitting = (
         compared.join(borne, "surname", "left")
-        .where((F.col("slips") == 0) | ((F.col("foreign") == 0) & (F.size(F.array_except("sexes", F.array("person_sex"))) <= 0)))
+        .join(near, ["surname", "person_surname"], "left")
+        .where((F.col("slips") == 0) | ((F.col("foreign") == 0) & (F.size(F.array_except("sexes", "near_sexes")) <= 0)))
         .groupBy("label", "person_id")
         .agg(F.min("score").alias("score"))
     )

@@ -96,7 +96,7 @@ def test_links(spark):
 
 def test_short_names_and_shared_misspellings(spark):
     people = [("S1", "Mr. SMITH", "John Smith", "UT"), ("S2", "Mrs. SMITH", "Ann Smith", "NV"), ("K1", "Mr. KING", "Paul King", "UT"), ("R1", "Mr. REED", "Carl Reed", "UT")]
-    want = {"Mr. KIMG": "K1", "Mr. KIG": "K1", "Mr. RECD": "R1", "Mr." + " " * 400 + "REED": "R1"}
+    want = {"Mr. SMIHT": "S1", "Mrs. SMIHT": "S2", "Mr. KIMG": "K1", "Mr. KIG": "K1", "Mr. RECD": "R1", "Mr." + " " * 400 + "REED": "R1"}
     labels = spark.createDataFrame([(x,) for x in want], "speaker string")
     persons = spark.createDataFrame(people, "bio string, label string, full string, st string")
     assert dict(rows(link_names(labels, "speaker", persons, "bio", "label", "full", "st"))) == want
