@@ -69,16 +69,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return have[0], have[1]
 
 
-def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word in order, number of words before each text; n + 1 entries).
-
-    The hash of a word is a difference of one running polynomial sum over a block
-    of bytes, scaled back by the power at the word's start.
-    """
-    data, offsets = _utf8(texts)
-    none = np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    if not len(data):
-        return none
+def _places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each word and the byte behind it."""
     inside = np.empty(len(data) + 2, bool)
     inside[0] = inside[-1] = False
     np.take(_IS_WORD, data, out=inside[1:-1])
@@ -90,8 +82,37 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     edge = edge[inside[edge] & inside[edge + 1]]
     if len(edge):
         starts, ends = np.sort(np.append(starts, edge)), np.sort(np.append(ends, edge))
+    return starts, ends
+
+
+def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word in order, number of words before each text; n + 1 entries).
+
+    The hash of a word is a difference of one running polynomial sum over a block
+    of bytes, scaled back by the power at the word's start.
+    """
+    return _hashed(*_utf8(texts))[:2]
+
+
+def words_and_pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``words``, and a hash each of the first and the last three letters of every word (0 for words of less than five), as two columns."""
+    data, offsets = _utf8(texts)
+    hashed, before, starts, ends = _hashed(data, offsets)
+    out = np.zeros((len(starts), 2), np.uint64)
+    long = ends - starts >= 5
+    for column, at in enumerate((starts[long], ends[long] - 3)):
+        code = np.full(len(at), np.uint64(column + 1))
+        for j in range(3):
+            code = (code << np.uint64(8)) | _WORD_TABLE[data[at + j]]
+        out[long, column] = mix64(code)
+    return hashed, before, out
+
+
+def _hashed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(hash of each word, words before each text, first byte of each word, byte behind it)."""
+    starts, ends = _places(data, offsets) if len(data) else (np.zeros(0, np.int64),) * 2
     if not len(starts):
-        return none
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), starts, ends
     hashed = np.empty(len(starts), np.uint64)
     # blocks of bounded size, however long a text is; a word belongs to the block it starts in
     cuts = np.unique(np.append(np.searchsorted(starts, np.arange(0, len(data), _BLOCK)), len(starts)))
@@ -102,7 +123,7 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         total[0] = 0
         np.cumsum(_WORD_TABLE[data[first:last]] * power[: last - first], out=total[1:])
         hashed[a:b] = (total[ends[a:b] - first] - total[starts[a:b] - first]) * back[starts[a:b] - first]
-    return mix64(hashed + (ends - starts).astype(np.uint64) * _MUL), np.searchsorted(starts, offsets)
+    return mix64(hashed + (ends - starts).astype(np.uint64) * _MUL), np.searchsorted(starts, offsets), starts, ends
 
 
 def shingle_sets(texts: pa.Array, k: int = 3, least_words: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

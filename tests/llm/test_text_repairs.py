@@ -2,9 +2,11 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from rostrum.llm import residue, scan_repair, speaker_turns
+from rostrum.llm import residue, scan_repair, shingles, speaker_turns
 from rostrum.llm.peg import find, many, node, seq, token
 
 from ..conftest import rows
@@ -146,6 +148,52 @@ def test_residue_operator(spark):
     assert residue.residue(df.limit(0), "doc_id", "text").count() == 0
 
 
+def _residue_texts():
+    draw = random.Random(6)
+    content = [" ".join(draw.choice(WORDS) for _ in range(40)) + "." for _ in range(300)]
+    framed = [f"{m}\nBack to the start, or report this problem." for m in ("Sorry, that page is not here.", "404 Not Found", "Too many calls were made with this key.")] * 4
+    held_out = ["The gateway had no answer for you.\nBack to the start, or report this problem."] * 4
+    return content, framed, held_out
+
+
+def _slices_of(spark, texts):
+    return residue.parsed(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), "id", "text")
+
+
+def test_residue_learning(spark):
+    content, framed, held_out = _residue_texts()
+    slices = _slices_of(spark, [*content, *framed, *held_out])
+    first, model = residue.learn(slices, rounds=1), residue.learn(slices)
+    # companions of trusted passages are learned, content beside a notice isn't residue
+    assert all(residue.verdict(t, model)[0] for t in [*framed, "Back to the start, or report this problem."])
+    assert not residue.verdict(content[0] + "\nPlease enable JavaScript to go on.", model)[0]
+    # rounds move the model
+    assert residue.verdict(held_out[0], model)[1] > residue.verdict(held_out[0], first)[1]
+    # unknown words speak against residue, in whatever language
+    for prose in (
+        "Les travaux du canal avancent lentement, car les pluies ont abîmé la digue.",
+        "Die Behörde prüft den Haushalt der Gemeinde erst nach der Ernte.",
+        "Eigenvalues of a Hermitian operator are real; eigenvectors of distinct eigenvalues are orthogonal.",
+        "Zorbic quandle yttrix pomplet varnash ekkilo drubbing.",
+    ):
+        assert not residue.verdict(prose, model)[0]
+
+
+def test_residue_verdicts_do_not_depend_on_size():
+    draw = np.random.default_rng(1)
+    size = 1 << residue.BUCKET_BITS
+    bad, good = draw.poisson(0.02, size).astype(float), draw.poisson(1.0, size).astype(float)
+    one = residue.Model(bad, good, 40.0, 1000.0, 3.0, 5000.0)
+    many = residue.Model(100 * bad, 100 * good, 4000.0, 100_000.0, 300.0, 500_000.0)
+    assert np.allclose(one.odds, many.odds) and np.isclose(one.prior, many.prior) and np.isclose(one.stray, many.stray)
+
+
+def test_pieces_of_words():
+    hashed, start, pieces = shingles.words_and_pieces(pa.array(["Testing Tes ing", None, "x TESTED"]))
+    assert start.tolist() == [0, 3, 3, 5] and (hashed == shingles.words(pa.array(["Testing Tes ing", None, "x TESTED"]))[0]).all()
+    assert pieces[0, 0] == pieces[4, 0] and pieces[0, 1] != pieces[4, 1] and not pieces[1:4].any()
+
+
 def test_misread_words_in_long_chains(lexicon):
     chain = "before—this—committee—and—harbor—council—should—improve—their—budgct—settlement"
     assert len(chain) > 60
