@@ -1,8 +1,10 @@
 """Speech transcripts as clean, ordered speaker turns, by parsing-expression grammars.
 
-One grammar recognises what opens a turn at the start of a line (blanks, time
-notes, a label, which may run on into the next line), a second one the notes inside
-an utterance (nested brackets, times, sounds) and hesitations.  Parse trees are
+A transcript is parsed line by line: a line either opens a turn (blanks, time notes,
+a label, which may run on into the next line) or is running text.  Who is addressed
+or spoken of, what only looks like a name, and lines that need the next one are
+decided by rules of the grammar.  A second grammar finds the notes inside an
+utterance (nested brackets, times, sounds) and hesitations.  Parse trees are
 transformed into turns and cleaned utterances.
 
 Defined results: a NULL or empty text is one empty turn of the row's speaker; a
@@ -40,15 +42,32 @@ stamp = first(
 stamps = node("stamps", many(seq(stamp, maybe(blank))))
 chevron = node("chevron", token(r">{1,3}[ \t]*|»[ \t]*"))
 honorific = token(
-    r"(?:(?:Mrs|Mr|Ms|MRS|MR|MS|Miss|MISS|Madam|Dr|DR)\b[.,:]?|(?:Senator|SENATOR|Representative|Congressman|Congresswoman|Chairman|Chairwoman)\b|Hon\.?|HON\.?)"
+    r"(?:(?:Mrs|Mr|Ms|MRS|MR|MS|Miss|MISS|Madam|Dr|DR)\b[.,:]?|(?:Senator|SENATOR|Sen\.|Rep\.|Representative|Congressman|Congresswoman|Chairman|Chairwoman)\b|Hon\.?|HON\.?)"
     r"(?:[ \t\xa0]*\r?\n[ \t\xa0]*|[ \t\xa0]*)"
 )
 _BROKEN = r"(?:[-‐¬\xad][ \t]*\r?\n[ \t]*[A-Za-z'’]+|-[A-Z][A-Za-z'’]+)*"
-upper_word = token(rf"(?:[A-Z]'|[A-Z]’)?[A-Z][A-Z0-9'’|~^·†]*{_BROKEN}(?![a-z])")
+#: Titles by which somebody is addressed, and words that open notes and no turns.
+addressed = token(r"(?:President|Speaker|Chair(?:man|woman)?|Secretary|Clerk|Leader|Vice|Madam|Justice)\b", re.I)
+heading = token(
+    r"(?:NOTE|NOTICE|REPORTER|CONTINUED|SECTION|TITLE|RESOLVED|WHEREAS|ARTICLE|AMENDMENT|RECORD|CONGRESSIONAL|HOUSE|SENATE|YEAS|NAYS|ORDERED)\b", re.I
+)
+place = token(rf"(?:{'|'.join(STATES)})\b(?=\s*[:(\[])")
+upper_word = seq(unless(addressed), token(rf"(?:[A-Z]'|[A-Z]’)?[A-Z][A-Z0-9'’|~^·†]*{_BROKEN}(?![a-z])"))
 initial = token(r"[A-Z]\.")
-mixed_word = token(rf"(?:[A-Z]['’])?[A-Z][A-Za-z'’]*{_BROKEN}")
-upper_name = node("name", seq(many(seq(initial, gap)), upper_word, many(seq(gap, unless(token(r"of\b")), first(initial, upper_word)))))
-mixed_name = node("name", seq(many(seq(initial, gap)), mixed_word, many(seq(gap, unless(token(r"of\b")), first(initial, mixed_word)))))
+mixed_word = seq(unless(addressed), token(rf"(?:[A-Z]['’])?[A-Z][A-Za-z'’]*{_BROKEN}"))
+several = token(r"(?=[A-Z]\.|[A-Z]['’]?[A-Za-z0-9])")
+upper_name = node("name", seq(several, many(seq(initial, gap)), upper_word, many(seq(gap, unless(token(r"of\b")), first(initial, upper_word)))))
+mixed_name = node("name", seq(several, many(seq(initial, gap)), mixed_word, many(seq(gap, unless(token(r"of\b")), first(initial, mixed_word)))))
+# without a form of address: up to three words, the last of which has four letters
+another = ahead(token(r"[A-Z]"))
+bare_word = seq(unless(heading), first(initial, upper_word), gap, another)
+bare_upper = node("name", seq(unless(place), maybe(bare_word), maybe(bare_word), token(r"(?=[A-Z'’0-9|~^·†]{4})"), unless(heading), upper_word))
+opener = token(
+    r"(?:However|Therefore|Indeed|Thus|Hence|Yes|No|Well|Now|And|But|So|First|Second|Third|Finally|Frankly|Again|Moreover|Otherwise|Meanwhile|Still|Then|Here"
+    r"|That|This|These|Those|It|We|You|He|She|They|There|If|When|What|Why|How|Order|Question|Provided)\b"
+)
+mixed_part = seq(unless(heading), mixed_word, blank, another)
+bare_mixed = node("name", seq(maybe(mixed_part), maybe(mixed_part), token(r"(?=[A-Za-z'’]{4})"), unless(heading), mixed_word))
 state = node("state", seq(gap, token(r"of\b"), gap, token(r"[A-Z][A-Za-z]+(?:\s+[A-Z][a-z]+)?")))
 remark = node("remark", seq(maybe(gap), first(token(r"\[[^\]\[]*\]"), token(r"\([^()]*\)"))))
 dash = token(r"[ \t]*(?:--+|—|–)")
@@ -67,18 +86,18 @@ label = first(
     seq(officer, many(remark), closed),
     seq(honorific, upper_name, tail, closed),
     seq(honorific, mixed_name, tail, strong),
-    seq(node("bare", first(seq(token(r"(?=(?:VAN|DE|LA|ST\.) )"), upper_name), upper_name)), tail, colon),
+    seq(bare_upper, tail, colon),
+    # a new sentence follows the dash
+    seq(unless(first(officer, opener)), bare_mixed, node("mark", dash), ahead(token(r"\s+[\"“'(\[<{]?[A-Z\d]"))),
 )
 opening = seq(maybe(blank), stamps, maybe(chevron), maybe(stamps), node("label", label))
 
-_START = re.compile(
-    r"^[ \t\xa0]*(?:[\[({<>»]|\d{1,2}:\d\d|(?:Mrs?|Ms|M(?:R|S|RS)|Miss|MISS|Madam|D[rR]|H[oO][nN]|Senator|SENATOR|Representative|Congress|Chair)(?![a-z])"
-    r"|(?:Chairman|Chairwoman|Congressman|Congresswoman)\b|[TF]h?e[ \t]+[A-Z]{4}|[TF]HE |[TF]h?e[ \t]*$|[A-Z][A-Z'’. ]{3,40}(?:of [A-Z]\w+ ?)?(?:[\[(].{0,30})?:)",
-    re.M,
+#: Line starts with which an opening can begin.
+_LINE = re.compile(r"^[ \t\xa0]*(?=[A-Z\[({<>»\d])", re.M)
+#: Running text that needs another word, so that a name behind it belongs to its sentence.
+unfinished = token(
+    r".*(?<!-)\b(?:of|that|the|to|and|or|by|from|with|for|in|on|at|than|as|but|told|asked|friend|gentleman,|gentlewoman,|Senator|colleague,?)\s*$", re.S
 )
-#: Titles by which somebody is addressed, and words that open notes, not turns.
-_ADDRESSED = {"PRESIDENT", "SPEAKER", "CHAIRMAN", "CHAIRWOMAN", "CHAIR", "SECRETARY", "CLERK", "LEADER", "VICE", "MADAM", "JUSTICE"}
-_NO_NAMES = {"NOTE", "NOTICE", "REPORTER", "CONTINUED", "SECTION", "TITLE", "RESOLVED", "WHEREAS", "ARTICLE", "AMENDMENT", "RECORD", "CONGRESSIONAL", "HOUSE", "SENATE", "YEAS", "NAYS", "ORDERED"}
 
 
 def plain_name(text: str) -> str:
@@ -88,25 +107,14 @@ def plain_name(text: str) -> str:
     return re.sub(r"\s+", " ", text).strip(" .,:;-").upper().replace("’", "'")
 
 
-def _speaker_of(text: str, tree: tuple) -> tuple[str, bool] | None:
-    """(name, whether of an officer) of the label in a parse tree."""
+def _speaker_of(text: str, tree: tuple) -> str | None:
+    """The name of the label in a parse tree."""
     found = find(tree, "role")
     if found is not None:
-        name = plain_name(text[found.start : found.end])
-        return re.sub(r"TEM- ?PORE|TEM\.?$", "TEMPORE", name), True
+        return re.sub(r"TEM- ?PORE|TEM\.?$", "TEMPORE", plain_name(text[found.start : found.end]))
     found = find(tree, "name")
-    if found is None:
-        return None
     name = plain_name(text[found.start : found.end])
-    parts = name.split()
-    if not parts or parts[0] in _ADDRESSED or parts[-1] in _ADDRESSED or len(re.sub(r"[^A-Z]", "", name)) < 2:
-        return None
-    if find(tree, "bare") is not None and (set(parts) & _NO_NAMES or len(parts) > 3 or len(parts[-1]) < 4 or name.replace(" ", "") in _STATE_NAMES):
-        return None
-    return name, False
-
-
-_STATE_NAMES = {s.replace(" ", "") for s in STATES}
+    return name if len(_letters(name)) > 1 else None
 
 
 def _letters(name: str) -> str:
@@ -129,15 +137,14 @@ def own_names(speaker: str | None) -> set[str]:
     return {_letters(plain_name(re.sub(r"^\s*[TFtf][Hh]?[Ee]\s+", "", re.sub(r"[(\[].*", "", speaker.replace("l", "I") if speaker.isupper() else speaker))))}
 
 
-_OPEN_END = re.compile(r"(?<!-)\b(?:of|that|the|to|and|or|by|from|with|for|in|on|at|than|as|but|told|asked|friend|gentleman,|gentlewoman,|Senator|colleague,?)\s*$")
-
-
-def _goes_on(before: str) -> bool:
-    """Whether the line before the label ends in a word that needs another, so that the name belongs to its sentence."""
-    for line in reversed(before.split("\n")[-8:]):
-        line = clean(line) if line.strip() else ""
-        if line.strip() and not furniture(line):
-            return bool(_OPEN_END.search(line))
+def _goes_on(text: str, at: int) -> bool:
+    """Whether the running text before a line needs another word."""
+    while at > 0:
+        begin = text.rfind("\n", 0, at - 1) + 1
+        line = text[begin : at - 1]
+        if line.strip() and (line := clean(line)).strip() and not furniture(line):
+            return unfinished(line, 0) is not None
+        at = begin
     return False
 
 
@@ -148,11 +155,8 @@ def turns(text: str | None, speaker: str | None) -> list[tuple[int, str | None,
     if not text:
         return [tuple(out[0])]
     done = 0
-    for m in _START.finditer(text):
-        if m.start() < done:
-            continue
-        found = opening(text, m.start())
-        if found is None:
+    for m in _LINE.finditer(text):
+        if m.start() < done or (found := opening(text, m.start())) is None:
             continue
         end, tree = found
         said = _speaker_of(text, tree)
@@ -160,15 +164,15 @@ def turns(text: str | None, speaker: str | None) -> list[tuple[int, str | None,
             continue
         marked = find(tree, "chevron") is not None or (s := find(tree, "stamps")) is not None and s.end > s.start
         bracketed = text[find(tree, "label").start] == "["
-        if not marked and not bracketed and _goes_on(text[max(0, m.start() - 700) : m.start()]):
+        if not marked and not bracketed and _goes_on(text, m.start()):
             continue
         done = end
         out[-1][3] = m.start() if out[-1][3] == 0 else out[-1][3]
-        if same_name(names, said[0]):
+        if same_name(names, said):
             out.append([out[-1][0], out[-1][1], end, 0])  # the same turn goes on behind the label
             continue
-        names = {_letters(said[0])}
-        out.append([out[-1][0] + 1, said[0], end, 0])
+        names = {_letters(said)}
+        out.append([out[-1][0] + 1, said, end, 0])
     out[-1][3] = len(text)
     return [tuple(x) for x in out]
 
@@ -198,7 +202,7 @@ bracket = first(
     seq(token(r"\["), many(first(inner, token(r"[^\[\](){}<>]+"))), token(r"\]")),
     seq(token(r"\("), many(first(inner, token(r"[^\[\](){}<>]+"))), token(r"\)")),
     seq(token(r"<"), many(first(inner, token(r"[^\[\](){}<>\n]+"))), token(r">")),
-    seq(token(r"\*"), token(r"[A-Za-z][A-Za-z ,.'-]{1,40}"), token(r"\*")),
+    seq(token(r"\*"), token(r"[A-Za-z][A-Za-z ,.'-]+"), token(r"\*")),
 )
 _SOUND = re.compile(rf"\b{_SOUNDS}\b", re.I)
 
@@ -209,7 +213,7 @@ _DEEP = 100
 
 
 def _close(text: str, at: int) -> int | None:
-    """End of the bracket that opens at a place; None if it isn't closed, or more than ``_DEEP`` deep."""
+    """End of the bracket that opens at a place; None if it isn't closed, or more than ``_DEEP`` deep (then it is no note)."""
     waiting = []
     for m in _BRACKETS.finditer(text, at):
         if m[0] in _CLOSED_BY and len(waiting) < _DEEP:
@@ -223,14 +227,13 @@ def _close(text: str, at: int) -> int | None:
 
 def _sounding(text: str, at: int):
     """A bracket that names a sound somewhere inside."""
-    # a remark between asterisks has 40 letters or so at most
-    end = _close(text, at) if text[at : at + 1] in _CLOSED_BY else at + 50
+    if text[at : at + 1] == "*":
+        end = text.find("*", at + 1) + 1 or None
+    else:
+        end = _close(text, at)
     if end is None or not _SOUND.search(text, at, end):
         return None
-    try:
-        found = bracket(text[at:end], 0)
-    except RecursionError:
-        return None
+    found = bracket(text[at:end], 0)
     return (at + found[0], ()) if found is not None and _SOUND.search(text, at, at + found[0]) else None
 
 

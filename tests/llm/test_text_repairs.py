@@ -211,3 +211,12 @@ def test_long_remarks_and_notes():
     assert [w for _, w, *_ in got][1:] == ["ROE"]
     note = "[" + "the galleries being full, " * 15 + "applause]"
     assert speaker_turns.clean(f"I rise {note} to speak.") == "I rise to speak."
+
+
+def test_labels_without_form_of_address():
+    said = "I rise.\nVan Doren -- I yield.\nROE: No.\nFrankly -- I object.\nResolved: That it be so.\nLee -- and others.\n[10:41] O'Lee -- Yes.\n*Applause in the galleries of the House, continued for some minutes*"
+    assert [w for _, w, *_ in speaker_turns.turns(said, "Mr. SMITH")][1:] == ["VAN DOREN", "O'LEE"]
+    assert speaker_turns.clean(said).endswith("Yes.\n")
+    # a name in the middle of a sentence, however many furniture and blank lines stand between
+    broken = "I was told by\n" + "\n[4016]\n" * 30 + "Mr. ROE. He said so."
+    assert len(speaker_turns.turns(broken, "Mr. SMITH")) == 1
