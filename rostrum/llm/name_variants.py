@@ -1,13 +1,15 @@
 """Variant spellings of names typed by people, linked to a list of known persons.
 
 Each distinct label is parsed once into title, state and the possible splits into
-given names and surname.  Blocking is by suffixes: the suffixes of at least
-``MIN_SUFFIX`` letters of the surname and of what is left of it when its last
-letters are taken off (so a slip at the end doesn't lose the block), each cut to
-``MIN_SUFFIX`` letters.  A suffix that more than ``COMMON`` persons share isn't
-dropped at once: it is refined by the surname's first letter or, apart from that,
-by its length; only such refined blocks remain of it.  Pairs in a block are
-compared by the ratio of their longest common subsequence, those that reach
+given names and surname.  Blocking is by suffixes of all lengths from ``MIN_SUFFIX``
+of the surname token: of the token with its end marked, of the token without its last
+letters, of which up to ``CUT`` may hold a slip, and of the token read backwards with
+its beginning marked.  A suffix that more than ``COMMON`` persons share is refined by
+other fields: by the label's state where it has one (and the persons of unknown
+state), else by the title's sex and the surname's length.  Only then is the common
+suffix itself discarded; persons stand in the blocks of the next longer suffix, too.
+Longer suffixes of one that isn't common hold nobody new and aren't indexed.  Pairs in a
+block are compared by the ratio of their longest common subsequence, those that reach
 ``LEAST_RATIO`` are verified by the number of slips (insertion, deletion,
 substitution, exchange of neighbours) and by title, state and given names.
 
@@ -32,8 +34,7 @@ from pyspark.sql import functions as F
 from ..runtime import ship
 
 LONGEST_LABEL = 300  #: characters; what is longer is a text, not a name
-SHORT_NAME = 5  #: letters; up to so many, blocks also hold the name with one letter left out
-MIN_SUFFIX, COMMON, LEAST_RATIO, MOST_SLIPS = 3, 12, 0.72, 2
+MIN_SUFFIX, CUT, COMMON, LEAST_RATIO, MOST_SLIPS = 3, 3, 12, 0.72, 2
 
 #: Postal codes of the states and territories.
 STATES = {
@@ -174,13 +175,13 @@ def slips(a: str, b: str, most: int) -> int:
 
 
 def suffix_keys(name: str) -> list[str]:
-    """The suffixes of the name and of its beginnings, cut to MIN_SUFFIX letters, and its shorter end with its first letter."""
-    ends = {name[i - MIN_SUFFIX : i] for i in range(MIN_SUFFIX, len(name) + 1)} or {name}
-    # a fault in a short name may touch every piece of it
-    short = {f"{name[:i]}{name[i + 1 :]}~" for i in range(len(name))} | {f"{name}~"} if len(name) <= SHORT_NAME else set()
-    return sorted(ends | {f"{name[-2:]}/{name[0]}"} | short)
-
-
+    """Suffixes of the marked name, of the name without its last letters, and of the name backwards ("<": another index)."""
+    forms = [f"{name}$", *(name[: len(name) - cut] for cut in range(CUT + 1)), f"<{name[::-1]}^"]
+    keys = set()
+    for form in forms:
+        body, mark = form.lstrip("<"), form[: form.startswith("<")]
+        keys |= {mark + body[i:] for i in range(len(body) - MIN_SUFFIX + 1)}
+    return sorted(keys)
 
 
 _PARSED = "title string, sex string, state string, splits array<struct<surname:string, given:array<string>, keys:array<string>>>"
@@ -261,22 +262,34 @@ def link_names(labels: DataFrame, label_col: str, persons: DataFrame, id_col: st
         .withColumnRenamed("surname", "person_surname")
     )
     entries = known.select("*", F.explode("keys").alias("key")).drop("keys")
-    # blocks of more than COMMON persons exist only in refined parts, on both sides
     common = entries.groupBy("key").count().where(F.col("count") > COMMON).select("key", F.lit(True).alias("common"))
-    key, parts = F.col("key"), []
-    for surname in ("person_surname", "surname"):
-        name = F.col(surname)
-        if surname == "surname":
-            lengths = F.array(F.concat(key, F.lit("#"), F.length(name).cast("string")))
-        else:
-            lengths = F.transform(
-                F.sequence(F.length(name) - MOST_SLIPS, F.length(name) + MOST_SLIPS), lambda n: F.concat(F.col("key"), F.lit("#"), n.cast("string"))
-            )
-        both = F.array_append(lengths, F.concat(key, F.lit("/"), F.substring(name, 1, 1)))
-        parts.append(F.explode(F.when(F.col("common"), both).otherwise(F.array(key))).alias("block"))
-    indexed = entries.join(common, "key", "left").select("person_id", "person_surname", "person_sex", "person_state", "person_given", parts[0])
+    # a suffix is indexed if it is one of the shortest or the next shorter one is common
+    back = F.col("key").startswith("<")
+    letters = F.when(back, F.substring("key", 2, 1 << 20)).otherwise(F.col("key"))
+    entries = entries.withColumn("letters", letters).withColumn(
+        "shorter", F.concat(F.when(back, F.lit("<")).otherwise(F.lit("")), F.substring("letters", 2, 1 << 20))
+    )
+    entries = (
+        entries.join(common.select(F.col("key").alias("shorter"), F.col("common").alias("go_on")), "shorter", "left")
+        .where((F.length("letters") == MIN_SUFFIX) | F.col("go_on"))
+        .join(common, "key", "left")
+    )
+    key, any_of = F.col("key"), F.lit("*")
+    lengths = F.sequence(F.length("person_surname") - MOST_SLIPS, F.length("person_surname") + MOST_SLIPS)
+    sexes = F.when(F.col("person_sex").isNull(), F.array(F.lit("M"), F.lit("F"), any_of)).otherwise(F.array("person_sex", any_of))
+    by_length = F.flatten(F.transform(lengths, lambda n: F.transform(sexes, lambda x: F.concat(key, F.lit(":"), n.cast("string"), x))))
+    refined = F.array_append(by_length, F.concat(key, F.lit("#"), F.coalesce("person_state", any_of)))
+    indexed = entries.select(
+        "person_id", "person_surname", "person_sex", "person_state", "person_given",
+        F.explode(F.when(F.col("common"), refined).otherwise(F.array(key))).alias("block"),
+    )
     probes = parsed.select("label", "title", "sex", "state", "surname", "given", F.explode("keys").alias("key")).join(common, "key", "left")
-    probes = probes.select("label", "title", "sex", "state", "surname", "given", parts[1])
+    refined = F.when(F.col("state").isNotNull(), F.array(F.concat(key, F.lit("#"), F.col("state")), F.concat(key, F.lit("#*")))).otherwise(
+        F.array(F.concat(key, F.lit(":"), F.length("surname").cast("string"), F.coalesce("sex", any_of)))
+    )
+    probes = probes.select(
+        "label", "title", "sex", "state", "surname", "given", F.explode(F.when(F.col("common"), refined).otherwise(F.array(key))).alias("block")
+    )
     pairs = (
         probes.join(indexed, "block")
         .where(F.abs(F.length("surname") - F.length("person_surname")) <= MOST_SLIPS)

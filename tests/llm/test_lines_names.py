@@ -6,7 +6,7 @@ import re
 import pytest
 
 from rostrum.llm import repeated_lines
-from rostrum.llm.name_variants import given_fits, lcs_ratio, link_names, parse_label, slips
+from rostrum.llm.name_variants import given_fits, lcs_ratio, link_names, parse_label, slips, suffix_keys
 
 from ..conftest import rows
 
@@ -100,3 +100,27 @@ def test_short_names_and_shared_misspellings(spark):
     labels = spark.createDataFrame([(x,) for x in want], "speaker string")
     persons = spark.createDataFrame(people, "bio string, label string, full string, st string")
     assert dict(rows(link_names(labels, "speaker", persons, "bio", "label", "full", "st"))) == want
+
+
+def test_suffix_keys():
+    assert suffix_keys("KING") == ["<GNIK^", "<IK^", "<NIK^", "ING", "ING$", "KIN", "KING", "KING$", "NG$"]
+    assert suffix_keys("AB") == ["<BA^", "AB$"] and suffix_keys("") == []
+    # one slip anywhere leaves a shared suffix
+    name = "PELLIMSTEAD"
+    for i in range(len(name)):
+        for slip in (name[:i] + name[i + 1 :], name[:i] + "X" + name[i:], name[:i] + "X" + name[i + 1 :]):
+            assert set(suffix_keys(name)) & set(suffix_keys(slip))
+
+
+def test_common_suffixes_are_refined(spark):
+    # all persons share beginning and end of the surname, so every short suffix is common
+    middles = ["BORUN", "CADEL", "DOVIM", "FAGON", "GETIR", "HILUS", "JOMAX", "KANEP", "LERIT", "MOSUB", "NADIC", "PETOG", "RUVAL", "SEKOM"]
+    people = [(f"P{i}", f"Mr. STR{m}STEAD", f"John Str{m.lower()}stead", "UT" if i % 2 else None) for i, m in enumerate(middles)]
+    want = {}
+    for i, m in enumerate(middles):
+        want[f"Mr. STR{m[:-1]}STEAD"] = f"P{i}"
+        want[f"Mr. SRT{m}STEAD of Utah"] = f"P{i}"
+        want[f"STR{m}STEDA, J."] = f"P{i}"
+    labels = spark.createDataFrame([(x,) for x in want], "speaker string")
+    persons = spark.createDataFrame(people, "bio string, label string, full string, st string")
+    assert dict(rows(link_names(labels, "speaker", persons, "bio", "label", "full", "st"))) == want
