@@ -4,12 +4,15 @@
    aggregation by hash).  Known words are those with a share of at least
    ``KNOWN_SHARE`` of all words, so there are at most 1 / ``KNOWN_SHARE`` of them.
 2. Skip-gram vectors: (word, neighbour within two places) pairs of known words are
-   counted over the whole collection, neighbours hashed to ``CONTEXTS`` places;
-   positive pointwise mutual information, whose factorization is what skip-gram
-   with negative sampling learns, and a singular value decomposition of the
-   bounded matrix give the vectors.
+   counted over the whole collection, neighbours hashed to ``CONTEXTS`` places.
+   Pointwise mutual information (shrunk where little is expected), whose
+   factorization is what skip-gram with negative sampling learns, and a singular
+   value decomposition of the bounded matrix give vectors of words and contexts.
 3. A rare word is linked to the known words from which plausible glyph edits lead
-   to it; among several, the vectors of the words around decide.
+   to it and which are its neighbours in the vector space: where both have vectors,
+   theirs must point the same way, and the linked word must fit the vectors of the
+   words around.  The best fit is taken; if none fits, or nothing around is known,
+   the word stays as it is.
 4. Furniture is recognised by its shape, misread letters allowed; words broken at
    a line's end are joined unless they are a compound that keeps its hyphen; the
    rest is reflowed into paragraphs.
@@ -17,7 +20,10 @@
 Only texts that are set in lines (a line without a sentence's end goes on in a
 lower-case line) are taken for scanned.  Defined results: NULL and empty texts and
 texts not from scans have no faulty lines and are returned as they are; equal ids
-are repaired row by row; an empty table gives no rows.
+are repaired row by row; an empty table gives no rows.  Lines of more than
+``_WIDEST`` characters are no running heads and no lines of a page; tokens of more
+than ``_LONGEST`` are no words; a word's rest is looked for in the next three lines
+of running text (stray lines may stand between).
 """
 
 from __future__ import annotations
@@ -34,6 +40,9 @@ from ..runtime import cut, ship
 from .shingles import words
 
 KNOWN_SHARE, VECTOR_SHARE, CONTEXTS, WINDOW, DIMENSIONS = 2e-6, 1e-5, 128, 2, 32
+FIT, ALIKE = -1.5, 0.3  #: least mean information of a linked word with the words around; least cosine with the form's own vector
+HELD = 200_000  #: forms whose links are remembered at a time
+_WIDEST = 90
 
 #: What a scanner reads (left) for what was printed (right).
 GLYPHS = [
@@ -66,24 +75,33 @@ def _within(a: str, b: str, most: int) -> bool:
 
 def _is_month(word: str) -> bool:
     word = word.upper().translate(_CAPS)
-    return any(_within(word, m, 0 if len(m) < 4 else 1) for m in _MONTHS)
+    # one slip leaves the first letter or the last
+    return word in _MONTHS or any(len(m) > 3 and (word[0] == m[0] or word[-1] == m[-1]) and _within(word, m, 1) for m in _MONTHS)
+
+
+_SMALL = re.compile(r"[a-zß-öø-ÿ]")
+_CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ]")
+_TWO_SMALL = re.compile(r"[a-km-zß-öø-ÿ].*[a-km-zß-öø-ÿ]")
 
 
 def furniture(line: str) -> str | None:
     """'header', 'folio' or None."""
     s = line.strip()
-    if not s or len(s) > 90:
+    if not s or len(s) > _WIDEST:
         return None
-    if _FOLIO.match(s):
-        return "folio"
-    day = _DAY.match(s)
-    if day and _is_month(day[1]):
-        return "header"
-    if sum(c.islower() for c in s) - s.count("l") > 1:
+    if len(s) <= 45:  # longer lines are neither a number nor a day
+        if _FOLIO.match(s):
+            return "folio"
+        day = _DAY.match(s)
+        if day and _is_month(day[1]):
+            return "header"
+    if _TWO_SMALL.search(s):
         return None
     letters = re.sub(r"[^A-Z]", "", s.upper().translate(_CAPS))
     if len(letters) < 15:
         return "header" if re.fullmatch(r"(?:\d+ )?(?:SENATE|HOUSE OF REPRESENTATIVES|EXTENSIONS OF REMARKS)(?: \d+)?", s) else None
+    if "CONGRESSIONALRECORD" in letters:
+        return "header"
     for word, most in (("CONGRESSIONALRECORD", 3),):
         for at in range(0, max(1, len(letters) - len(word) + most + 1)):
             for size in range(len(word) - 2, len(word) + 2):
@@ -96,37 +114,44 @@ def furniture(line: str) -> str | None:
 
 
 def is_title(line: str) -> bool:
-    letters = [c for c in line if c.isalpha()]
-    return len(letters) >= 8 and sum(c.isupper() for c in letters) > 0.85 * len(letters)
+    capitals = len(_CAPITAL.findall(line))
+    return capitals >= 7 and capitals + (small := len(_SMALL.findall(line))) >= 8 and capitals > 0.85 * (capitals + small)
 
 
 _END = re.compile(r"[.?!:;][\"'”’)\]]*\s*$")
 
 
-def is_scanned(lines: list[str]) -> bool:
+def is_scanned(lines: list[str], shape: list[str | None] | None = None) -> bool:
     """Whether the text is set in lines: one goes on in the next without a sentence's end, in lower case."""
-    running = [x for x in lines if x.strip() and not furniture(x)]
+    shape = [furniture(x) for x in lines] if shape is None else shape
+    running = [x for x, kind in zip(lines, shape, strict=True) if not kind and x and not x.isspace()]
     for a, b in zip(running, running[1:]):
         a, b = a.rstrip(), b.lstrip()
-        if len(a) <= 90 and not _END.search(a) and (b[:1].islower() or a[-1:] in _HYPHENS) and not is_title(a):
+        if len(a) <= _WIDEST and (b[:1].islower() or a[-1:] in _HYPHENS) and not _END.search(a) and not is_title(a):
             return True
     return False
 
 
 class Lexicon:
-    """Known words by hash, with counts and skip-gram vectors (broadcast by closure; its size is bounded)."""
+    """Known words by hash, with counts, and skip-gram vectors of the more frequent ones (broadcast by closure; its size is bounded)."""
 
     def __init__(self, hashes: np.ndarray, counts: np.ndarray, surely: float = 1):
         order = np.argsort(hashes)
         self.hashes, self.counts = hashes[order], counts[order]
         self.surely = surely  #: count from which a word is no misreading of another
-        self.vector_hashes = self.vectors = None
+        self.vector_hashes = self.vectors = self.contexts = None
         self.cache: dict[str, int] = {}
+        self.linked: dict[str, list[tuple[str, int]]] = {}
+        self.placed: dict[str, tuple[int, int] | None] = {}
+        self.fine: set[str] = set()  #: tokens that no context makes faulty
+
+    def __getstate__(self):
+        return self.__dict__ | {"cache": {}, "linked": {}, "placed": {}, "fine": set()}
 
     def count(self, forms: list[str]) -> list[int]:
         new = [f for f in dict.fromkeys(forms) if f not in self.cache]
         if new:
-            if len(self.cache) > 200_000:
+            if len(self.cache) > HELD:
                 self.cache.clear()
                 new = list(dict.fromkeys(forms))
             hashed, start = words(pa.array(new, pa.string()))
@@ -138,28 +163,54 @@ class Lexicon:
                 self.cache[f] = int(hit[start[i]]) if one[i] else 0
         return [self.cache[f] for f in forms]
 
-    def vector(self, word: str) -> np.ndarray | None:
-        if self.vectors is None or not len(self.vectors):
-            return None
-        hashed, _ = words(pa.array([word], pa.string()))
-        if len(hashed) != 1:
+    def place(self, word: str) -> tuple[int, int] | None:
+        """(row among the vectors, place among the contexts) of a word with a vector."""
+        if word not in self.placed:
+            if len(self.placed) > HELD:
+                self.placed.clear()
+            found = None
+            if self.vectors is not None and len(self.vectors):
+                hashed, _ = words(pa.array([word], pa.string()))
+                if len(hashed) == 1:
+                    at = int(np.searchsorted(self.vector_hashes, hashed[0]))
+                    if at < len(self.vector_hashes) and self.vector_hashes[at] == hashed[0]:
+                        found = at, int(_context_place(hashed)[0])
+            self.placed[word] = found
+        return self.placed[word]
+
+    def links(self, form: str) -> list[tuple[str, int]]:
+        """Known words, with counts, from which plausible glyph edits lead to ``form``."""
+        if form not in self.linked:
+            if len(self.linked) > HELD:
+                self.linked.clear()
+            self.linked[form] = _links(form, self)
+        return self.linked[form]
+
+    def alike(self, form: str, word: str) -> bool:
+        """Whether the vectors of a form and a word point the same way; True where the form has none of its own."""
+        a, b = self.place(form), self.place(word)
+        if a is None or b is None:
+            return True
+        x, y = self.vectors[a[0]], self.vectors[b[0]]
+        return float(x @ y) >= ALIKE * float(np.linalg.norm(x) * np.linalg.norm(y))
+
+    def choose(self, form: str, around: list[str] | None) -> str | None:
+        """The linked word that fits the words around best; None if none does or nothing around is known.  ``around`` None: some linked word."""
+        if around is None:
+            return self.links(form)[0][0]
+        found = [w for w, _ in self.links(form) if self.place(w) is not None and self.alike(form, w)]
+        near = [p[1] for p in map(self.place, around) if p is not None] if found else []
+        if not near:
             return None
-        at = int(np.searchsorted(self.vector_hashes, hashed[0]))
-        return self.vectors[at] if at < len(self.vector_hashes) and self.vector_hashes[at] == hashed[0] else None
-
-    def choose(self, found: list[tuple[str, int]], around: list[str]) -> str:
-        """The candidate whose vector is nearest to those of the words around; without vectors the commonest."""
-        if len(found) > 1:
-            near = [v for v in map(self.vector, around) if v is not None]
-            if near:
-                middle = np.sum(near, 0)
-                scored = [(float(v @ middle), c, w) for w, c in found if (v := self.vector(w)) is not None]
-                if scored:
-                    return max(scored)[2]
-        return max(found, key=lambda x: (x[1], x[0]))[0]
-
-
-_CORE = re.compile(r"[^\W_](?:.*[^\W_]|[†])?|[^\W_]", re.S)
+        middle = self.contexts[near].mean(0)
+        fit, word = max((float(self.vectors[self.place(w)[0]] @ middle), w) for w in found)
+        return word if fit >= FIT else None
+
+
+def _context_place(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(40)).astype(np.int64) % CONTEXTS
+
+
 _LOWER_WORD = re.compile(r"[a-z]+")
 
 
@@ -178,13 +229,17 @@ def _undone(form: str, twice: bool) -> set[str]:
     return out
 
 
-def correct(form: str, lexicon: Lexicon, around: list[str]) -> str | None:
-    """The known word that ``form`` (lower case) was read for, or None if it is none or correct."""
-    odd = bool(re.search(r"[^a-z'’-]", form))
+_ODD = re.compile(r"[^a-z'’-]")
+_STRAY = re.compile(f"[{re.escape(STRAY)}]")
+_INNER_STRAY = re.compile(rf"(?<=[^\W\d_])[{re.escape(STRAY)}](?=[^\W\d_])")
+
+
+def _links(form: str, lexicon: Lexicon) -> list[tuple[str, int]]:
+    odd = bool(_ODD.search(form))
     if not odd and len(form) < 3:
-        return None
+        return []
     have = lexicon.count([form])[0] if not odd else 0
-    plain = re.sub(f"[{re.escape(STRAY)}]", "", form)
+    plain = _STRAY.sub("", form)
     options = {plain} if plain != form and len(plain) > 1 else set()
     options |= _undone(form, False)
     if plain != form:
@@ -194,10 +249,15 @@ def correct(form: str, lexicon: Lexicon, around: list[str]) -> str | None:
     if not found and odd:
         options = sorted(o for o in _undone(plain, True) if _LOWER_WORD.fullmatch(o))
         found = [(o, c) for o, c in zip(options, lexicon.count(options), strict=True) if c > 0]
-    return lexicon.choose(found, around) if found else None
+    return found
+
+
+def correct(form: str, lexicon: Lexicon, around: list[str] | None) -> str | None:
+    """The known word that ``form`` (lower case) was read for, or None if it is none or correct."""
+    return lexicon.choose(form, around) if lexicon.links(form) else None
 
 
-def _word_fault(core: str, lexicon: Lexicon, around: list[str]) -> str | None:
+def _word_fault(core: str, lexicon: Lexicon, around: list[str] | None) -> str | None:
     """The corrected word of a faulty token, or None.  ``core``: the token without outer punctuation."""
     low = core.lower()
     if low.endswith(("'s", "’s")):
@@ -216,19 +276,32 @@ def _word_fault(core: str, lexicon: Lexicon, around: list[str]) -> str | None:
         return correct(low, lexicon, around)
     if re.fullmatch(r"[$£]?[\d.,:/-]+(?:st|nd|rd|th|d|s|a|p|am|pm|%)?|[A-Z]{1,4}\.?-?\d+|\d+[-–][\w-]+", core) or re.search(r"\d{2}", core):
         return None
-    inner = re.search(rf"(?<=[^\W\d_])[{re.escape(STRAY)}](?=[^\W\d_])", core)
+    inner = _INNER_STRAY.search(core)
     fixed = correct(low, lexicon, around)
     if fixed:
         return fixed
     if inner:
-        return re.sub(f"[{re.escape(STRAY)}]", "", low)
+        return _STRAY.sub("", low)
     if re.search(r"[a-z][†ã0158!|][a-z]|[†ãﬁﬂ]", core):
         return low.translate(str.maketrans("†ã0158!|", "taolsbil")).replace("ﬁ", "fi").replace("ﬂ", "fl")
     return None
 
 
-#: Longer tokens are no words (addresses, rules, data).
+def _is_fine(core: str, lexicon: Lexicon) -> bool:
+    """Whether a token is faulty in no context."""
+    if core not in lexicon.fine:
+        low = core.lower()
+        if not (low.isascii() and low.isalpha() and lexicon.count([low])[0] >= lexicon.surely and not ("I" in core[1:] and not core.isupper())):
+            if _word_fault(core, lexicon, None) not in (None, low):
+                return False
+        if len(lexicon.fine) > HELD:
+            lexicon.fine.clear()
+        lexicon.fine.add(core)
+    return True
+
+
 _LONGEST = 60
+_PIECE = re.compile(rf"([^\W\d_][\w{re.escape(STRAY)}!†]*)[{_HYPHENS}]\s*$")
 
 
 def _broken_end(line: str) -> re.Match | None:
@@ -239,89 +312,94 @@ def _broken_end(line: str) -> re.Match | None:
     return _PIECE.search(line, max(0, len(tail) - _LONGEST))
 
 
-_PIECE = re.compile(rf"([^\W\d_][\w{re.escape(STRAY)}!†]*)[{_HYPHENS}]\s*$")
+_TOKEN = re.compile(r"\S+")
+_HYPHENATED = re.compile(rf"[^{_HYPHENS}–—]+")
+#: Outer punctuation; a misread letter at an end is kept.
+_BEFORE = re.compile(r"(?:(?!†)(?![!|](?=\w)(?=[^\W\d_A-Z]))[\W_])+")
+_BEHIND = re.compile(r"(?:(?!†)[\W_])+$")
 
 
 def _tokens(line: str) -> list[tuple[int, str]]:
-    """(place, core) of the tokens of a line, without outer punctuation (a misread letter at an end is kept)."""
+    """(place, core) of the tokens of a line, without outer punctuation; a token of more than ``_LONGEST`` characters is split at its dashes."""
     out = []
-    for place, raw in _pieces(line):
-        start, end = 0, len(raw)
-        while start < end and not (raw[start].isalnum() or raw[start] in "†" or raw[start] in "!|" and raw[start + 1 : start + 2].islower()):
-            start += 1
-        while end > start and not (raw[end - 1].isalnum() or raw[end - 1] == "†"):
-            end -= 1
-        if start < end:
-            out.append((place + start, raw[start:end]))
+    for m in _TOKEN.finditer(line):
+        raw, place = m[0], m.start()
+        if len(raw) > _LONGEST:
+            for piece in _HYPHENATED.finditer(raw):
+                if len(piece[0]) <= _LONGEST and (core := _trimmed(piece[0]))[1]:
+                    out.append((place + piece.start() + core[0], core[1]))
+        elif raw.isalnum():
+            out.append((place, raw))
+        elif (core := _trimmed(raw))[1]:
+            out.append((place + core[0], core[1]))
     return out
 
 
-def _pieces(line: str) -> Iterator[tuple[int, str]]:
-    """(place, token) between blanks; one of more than ``_LONGEST`` characters is split at its dashes, and only longer pieces are left out."""
-    for m in re.finditer(r"\S+", line):
-        if len(m[0]) <= _LONGEST:
-            yield m.start(), m[0]
-            continue
-        for piece in re.finditer(rf"[^{_HYPHENS}–—]+", m[0]):
-            if len(piece[0]) <= _LONGEST:
-                yield m.start() + piece.start(), piece[0]
+def _trimmed(raw: str) -> tuple[int, str]:
+    before = _BEFORE.match(raw)
+    start = before.end() if before else 0
+    behind = _BEHIND.search(raw, start)
+    return start, raw[start : behind.start() if behind else len(raw)]
 
 
 def faults(text: str, lexicon: Lexicon, fixes: list | None = None) -> list[tuple[int, str]]:
     """(line_no, kind) of the faulty lines of one text.  ``fixes`` gets (line index, place, core, word) and joins (line index, None, next index, word)."""
     lines = text.split("\n")
-    if not is_scanned(lines):
-        return []
     shape = [furniture(x) for x in lines]
+    if not is_scanned(lines, shape):
+        return []
     found = [(i + 1, s) for i, s in enumerate(shape) if s]
-    running = [i for i, x in enumerate(lines) if not shape[i] and x.strip() and not is_title(x)]
+    running = [i for i, x in enumerate(lines) if not shape[i] and x and not x.isspace() and not is_title(x)]
     tokens = {i: _tokens(lines[i]) for i in running}
-    skip: set[tuple[int, int]] = set()  # (line, place) of pieces of broken words
+    flow = [(i, place, core) for i in running for place, core in tokens[i]]
+    starts, n = {}, 0
+    for i in running:
+        starts[i] = n
+        n += len(tokens[i])
+
+    def around(first: int, last: int) -> list[str]:
+        return [c.lower() for _, _, c in flow[max(0, first - WINDOW) : first] + flow[last + 1 : last + 1 + WINDOW]]
+
+    skip: set[int] = set()  # places in the flow of pieces of broken words
     glyph: set[int] = set()
     for k, i in enumerate(running):
         if not tokens[i] or not _broken_end(lines[i]):
             continue
-        last_place, last = tokens[i][-1]
-        piece = re.split(r"[-–—]", last.lower())[-1]
+        at = starts[i] + len(tokens[i]) - 1
+        piece = re.split(r"[-–—]", flow[at][2].lower())[-1]
         best = None
         for j in running[k + 1 : k + 4]:
             if not tokens[j]:
                 continue
-            place, first = tokens[j][0]
-            head = re.split(r"[-–—]", first.lower())[0]
+            head = re.split(r"[-–—]", tokens[j][0][1].lower())[0]
             joined, whole = piece + head, lexicon.count([piece + head])[0]
-            if whole or (fixed := correct(joined, lexicon, [])):
-                best = (j, place, head, joined if whole else fixed)
+            if whole or (fixed := correct(joined, lexicon, around(at, starts[j]))):
+                best = (j, head, joined if whole else fixed)
                 if not whole:
                     glyph.add(i if not fixed.startswith(piece) else j)
                 break
             if best is None:
-                best = (j, place, head, None)
+                best = (j, head, None)
         if best is None:
             continue
-        j, place, head, word = best
+        j, head, word = best
         if word is None:
             a, b = lexicon.count([piece, head])
             if a and b or not head[:1].isalpha() or lines[j].lstrip()[:1].isupper() and not lines[i].rstrip()[:-1][-1:].isupper():
                 continue  # a compound that keeps its hyphen, or no continuation
             word = piece + head
         found.append((i + 1, "split"))
-        skip |= {(i, last_place), (j, place)}
+        skip |= {at, starts[j]}
         if fixes is not None:
             fixes.append((i, None, j, word))
-    for i in running:
-        cores = [c for _, c in tokens[i]]
-        for n, (place, core) in enumerate(tokens[i]):
-            if (i, place) in skip:
-                continue
-            low = core.lower()
-            if low.isascii() and low.isalpha() and lexicon.count([low])[0] >= lexicon.surely and not ("I" in core[1:] and not core.isupper()):
-                continue
-            fixed = _word_fault(core, lexicon, [c.lower() for c in cores[max(0, n - 2) : n] + cores[n + 1 : n + 3]])
-            if fixed and fixed != low:
-                glyph.add(i)
-                if fixes is not None:
-                    fixes.append((i, place, core, fixed))
+    for at, (i, place, core) in enumerate(flow):
+        if core in lexicon.fine or at in skip or _is_fine(core, lexicon):
+            continue
+        fixed = _word_fault(core, lexicon, around(at, at))
+        if fixed and fixed != core.lower():
+            glyph.add(i)
+            if fixes is not None:
+                fixes.append((i, place, core, fixed))
     return sorted(set(found) | {(i + 1, "glyph") for i in glyph})
 
 
@@ -335,7 +413,8 @@ def _cased(core: str, word: str) -> str:
 def repaired(text: str, lexicon: Lexicon) -> str:
     """Continuous paragraphs: corrected words, joined pieces, no furniture."""
     lines = text.split("\n")
-    if not is_scanned(lines):
+    shape = [furniture(x) for x in lines]
+    if not is_scanned(lines, shape):
         return text
     fixes: list = []
     faults(text, lexicon, fixes)
@@ -356,7 +435,7 @@ def repaired(text: str, lexicon: Lexicon) -> str:
     open_line = False
     for i, line in enumerate(text.split("\n")):
         body = lines[i].strip()
-        if furniture(line) or not body:
+        if shape[i] or not body:
             continue
         indented = len(line) - len(line.lstrip()) >= 1
         if open_line and not is_title(line) and not (indented and _END.search(out[-1])):
@@ -396,8 +475,13 @@ def _count_contexts(hashes: np.ndarray):
     """(cell, n): how often a neighbour of hash place cell % CONTEXTS stood near the word number cell // CONTEXTS."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(hashes) * CONTEXTS, np.int64)
-        place = (hashes >> np.uint64(40)).astype(np.int64) % CONTEXTS
+        place = _context_place(hashes)
+        cells, counts, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+
+        def merge() -> tuple[np.ndarray, np.ndarray]:
+            cell, at = np.unique(np.concatenate(cells), return_inverse=True)
+            return cell, np.bincount(at, weights=np.concatenate(counts), minlength=len(cell)).astype(np.int64)
+
         for batch in batches:
             for a in range(0, batch.num_rows, 1000):
                 hashed, start = words(batch.column(0).slice(a, 1000))
@@ -405,14 +489,22 @@ def _count_contexts(hashes: np.ndarray):
                 at[at == len(hashes)] = 0
                 known = hashes[at] == hashed
                 doc = np.repeat(np.arange(len(start) - 1), np.diff(start))
+                both = []
                 for gap in range(1, WINDOW + 1):
                     pair = known[gap:] & known[:-gap] & (doc[gap:] == doc[:-gap])
                     x, y = at[gap:][pair], at[:-gap][pair]
-                    total += np.bincount(np.concatenate([x * CONTEXTS + place[y], y * CONTEXTS + place[x]]), minlength=len(total))
-        cell = np.flatnonzero(total)
-        for a in range(0, len(cell), 1 << 18):
-            part = cell[a : a + (1 << 18)]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], names=["cell", "n"])
+                    both += [x * CONTEXTS + place[y], y * CONTEXTS + place[x]]
+                cell, n = np.unique(np.concatenate(both), return_counts=True)
+                cells.append(cell), counts.append(n)
+                held += len(cell)
+                if held > 4_000_000:
+                    cell, n = merge()
+                    cells, counts, held = [cell], [n], len(cell)
+                    if held > 2_000_000:  # many cells: hand them on
+                        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n)], names=["cell", "n"])
+                        cells, counts, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        cell, n = merge()
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n)], names=["cell", "n"])
 
     return run
 
@@ -436,12 +528,10 @@ def learn(df: DataFrame, text_col: str) -> Lexicon:
     matrix[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     matrix = matrix.reshape(len(often), CONTEXTS)
     expected = matrix.sum(1, keepdims=True) * matrix.sum(0, keepdims=True) / max(matrix.sum(), 1)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        information = np.maximum(0, np.log(np.where(matrix > 0, matrix / expected, 1)))
+    information = np.log((matrix + 1) / (expected + 1))
     _, _, turn = np.linalg.svd(information.T @ information)
-    vectors = information @ turn[:DIMENSIONS].T
-    norm = np.linalg.norm(vectors, axis=1, keepdims=True)
-    lexicon.vector_hashes, lexicon.vectors = often, (vectors / np.maximum(norm, 1e-9)).astype(np.float32)
+    lexicon.contexts = turn[:DIMENSIONS].T.astype(np.float32)
+    lexicon.vector_hashes, lexicon.vectors = often, (information @ turn[:DIMENSIONS].T).astype(np.float32)
     return lexicon
 
 

@@ -220,3 +220,35 @@ def test_labels_without_form_of_address():
     # a name in the middle of a sentence, however many furniture and blank lines stand between
     broken = "I was told by\n" + "\n[4016]\n" * 30 + "Mr. ROE. He said so."
     assert len(speaker_turns.turns(broken, "Mr. SMITH")) == 1
+
+
+def test_vectors_decide(spark, monkeypatch):
+    draw = random.Random(11)
+    texts = [f"on the {draw.choice(['first', 'second', 'third'])} day the {draw.choice(['council', 'committee', 'court'])} met before noon." for _ in range(600)]
+    texts += [f"pots of {draw.choice(['red', 'white', 'wet'])} clay and {draw.choice(['fine', 'coarse'])} sand were fired." for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    lexicon = scan_repair.learn(df, "text")
+    # a known word that a glyph edit makes of a frequent one, but which stands in other company
+    assert lexicon.links("clay") == [("day", 600)] and not lexicon.alike("clay", "day") and lexicon.alike("noon", "noon")
+    page = "on the first duy the council met, and on the second\nclay the court mct before\nnoon with pots of red clay and fine\nsand."
+    assert scan_repair.faults(page.replace("duy", "dny"), lexicon) == [(2, "glyph")]
+    monkeypatch.setattr(scan_repair, "ALIKE", -2)
+    assert scan_repair.faults(page, lexicon) == [(2, "glyph")]  # it doesn't fit the words around, either
+    # precision without vectors' say
+    monkeypatch.setattr(scan_repair, "FIT", -99)
+    assert scan_repair.faults(page, lexicon) == [(2, "glyph"), (3, "glyph")]
+    # recall without vectors
+    lexicon.vectors = None
+    lexicon.placed.clear(), lexicon.fine.clear()
+    assert scan_repair.faults(page, lexicon) == []
+
+
+def test_a_link_that_fits_nothing_around_is_refused(spark, lexicon):
+    assert lexicon.choose("budgct", ["municipal", "before"]) == "budget"
+    assert lexicon.choose("budgct", ["zzz"]) is None and lexicon.choose("budgct", []) is None
+    worst = lexicon.contexts @ lexicon.vectors[lexicon.place("budget")[0]]
+    at = int(worst.argmin())
+    lexicon.placed["against"] = (0, at)
+    lexicon.contexts[at] *= 50
+    assert worst[at] < 0 and lexicon.choose("budgct", ["against"]) is None
+    lexicon.contexts[at] /= 50
