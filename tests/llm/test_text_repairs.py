@@ -228,6 +228,7 @@ def test_vectors_decide(spark, monkeypatch):
     texts += [f"pots of {draw.choice(['red', 'white', 'wet'])} clay and {draw.choice(['fine', 'coarse'])} sand were fired." for _ in range(20)]
     df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
     lexicon = scan_repair.learn(df, "text")
+    lexicon.surely = 100
     # a known word that a glyph edit makes of a frequent one, but which stands in other company
     assert lexicon.links("clay") == [("day", 600)] and not lexicon.alike("clay", "day") and lexicon.alike("noon", "noon")
     page = "on the first duy the council met, and on the second\nclay the court mct before\nnoon with pots of red clay and fine\nsand."
