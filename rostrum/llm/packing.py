@@ -4,11 +4,14 @@
    dimensions by fixed random signs and ranked into the Hilbert curve's cells; its
    key is the place on the curve, so near keys mean similar texts.
 2. One range partitioning sorts the texts by key; a hash of the id behind the key
-   splits any number of equal texts over partitions.
-3. Each partition packs windows of neighbouring texts, largest first, into the
-   container that leaves the least space; containers that a window left open go on
-   to the next.  A text longer than a container is cut into full containers and one
-   rest, which is packed like a text.  Each container class is packed by itself.
+   splits any number of equal texts over partitions.  Sizes and keys are written
+   before, so texts are tokenized once.
+3. Each partition fills one container after the other along the curve: with the
+   first text that is left, then with those of the next ``LOOK_AHEAD`` that leave the
+   least space (one text, or two).  So no two texts of a container lie further apart
+   on the curve than the texts that are looked ahead to and those that waited.  A text
+   longer than a container is cut into full containers and one rest, which is packed
+   like a text.  Each container class is packed by itself.
 
 Defined results: NULL and empty texts have no tokens and are in no container; rows
 with equal ids are items of their own (told apart by their place in the container);
@@ -24,14 +27,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from ..runtime import ship
+from ..runtime import cut, ship
 from .shingles import mix64, words
 from .tokens import TOKENIZER, token_counts
 
 BITS = 10  #: per dimension of the curve
-WINDOW = 8192  #: texts packed together, neighbours on the curve
-OPEN = 512  #: containers kept open from one window to the next
+LOOK_AHEAD = 256  #: texts along the curve among which the next container's are chosen
 
 
 def project(texts: pa.Array) -> np.ndarray:
@@ -75,91 +78,87 @@ def hilbert(points: np.ndarray) -> np.ndarray:
 
 
 class _Packer:
-    """Best fit into the open containers of one class."""
-
-    def __init__(self, capacity: int):
-        self.capacity, self.made = capacity, 0
-        self.open: list[tuple[int, int]] = []  # (free, container), ascending
-        self.used: dict[int, int] = {}
-
-    def put(self, size: int) -> tuple[int, int]:
-        """(container, place in it) for an item of ``size`` tokens."""
-        at = bisect_left(self.open, (size, -1))
-        if at < len(self.open):
-            free, container = self.open.pop(at)
-        else:
-            free, container = self.capacity, self.made
+    """Fills the containers of one class along the curve."""
+
+    def __init__(self, name: str, capacity: int, part: int):
+        self.name, self.capacity, self.made, self.part = name, capacity, 0, part
+        self.waiting: dict[int, tuple] = {}  # number -> (id, piece, first token, size), in the order of the curve
+        self.sizes: list[tuple[int, int]] = []  # (size, number), ascending
+        self.seen = 0
+        self.rows: list[tuple] = []
+
+    def add(self, id_, size: int) -> None:
+        piece, first = 1, 0
+        while size > self.capacity:
+            self._row(0, id_, piece, first, self.capacity)
             self.made += 1
-        place = self.capacity - free
-        if free > size:
-            insort(self.open, (free - size, container))
-        return container, place
+            size, piece, first = size - self.capacity, piece + 1, first + self.capacity
+        self.waiting[self.seen] = (id_, piece, first, size)
+        insort(self.sizes, (size, self.seen))
+        self.seen += 1
+        if len(self.waiting) > LOOK_AHEAD:
+            self.fill()
+
+    def fill(self) -> None:
+        """Fills one container, beginning with the first text that waits."""
+        number = next(iter(self.waiting))
+        self.place = 0
+        self._put(bisect_left(self.sizes, (self.waiting[number][3], number)))
+        while self.sizes and (free := self.capacity - self.place) >= self.sizes[0][0]:
+            # the largest text that fits, or the two whose sum does
+            at = bisect_left(self.sizes, (free + 1, -1)) - 1
+            single, low, high, best = self.sizes[at][0], 0, at, 0
+            pair = None
+            while low < high and single < free:
+                both = self.sizes[low][0] + self.sizes[high][0]
+                if both > free:
+                    high -= 1
+                else:
+                    if both > best:
+                        best, pair = both, high
+                        if both == free:
+                            break
+                    low += 1
+            # of equal texts the nearest
+            self._put(bisect_left(self.sizes, (self.sizes[pair if best > single else at][0], -1)))
+        self.made += 1
+
+    def _put(self, at: int) -> None:
+        _, number = self.sizes.pop(at)
+        id_, piece, first, size = self.waiting.pop(number)
+        self._row(self.place, id_, piece, first, size)
+        self.place += size
+
+    def _row(self, place: int, id_, piece: int, first: int, size: int) -> None:
+        self.rows.append((self.name, self.capacity, self.part | self.made, place, id_, piece, first, size))
+
+
+def _packing(classes: list[tuple[str, int]], kind: pa.DataType):
+    names = ["container_class", "capacity_tokens", "container_id", "place", "id", "piece_no", "first_token", "n_tokens"]
+    kinds = [pa.string(), pa.int32(), pa.int64(), pa.int32(), kind, pa.int32(), pa.int32(), pa.int32()]
 
-    def close(self) -> None:
-        """Keeps the emptiest containers open."""
-        self.open = self.open[-OPEN:]
-
-
-def _packing(classes: list[tuple[str, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId() << 40
-        packers = [_Packer(capacity) for _, capacity in classes]
-
-        def pack(ids: pa.Array, sizes: np.ndarray):
-            order = np.argsort(-sizes, kind="stable")
-            for (name, capacity), packer in zip(classes, packers, strict=True):
-                at, container, place, piece, start, tokens = [], [], [], [], [], []
-
-                def add(i, number, where, k, first, size):
-                    at.append(i), container.append(part | number), place.append(where), piece.append(k), start.append(first), tokens.append(size)
-
-                rests = []
-                for i in order.tolist():
-                    size, k, first = int(sizes[i]), 1, 0
-                    if size > capacity:
-                        while size > capacity:
-                            add(i, packer.made, 0, k, first, capacity)
-                            packer.made += 1
-                            size, k, first = size - capacity, k + 1, first + capacity
-                        rests.append((size, i, k, first))
-                    else:
-                        rests.append((size, i, k, first))
-                for size, i, k, first in sorted(rests, key=lambda r: (-r[0], r[1])):
-                    add(i, *packer.put(size), k, first, size)
-                packer.close()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([name] * len(at), pa.string()),
-                        pa.array([capacity] * len(at), pa.int32()),
-                        pa.array(container, pa.int64()),
-                        pa.array(place, pa.int32()),
-                        ids.take(pa.array(at, pa.int64())),
-                        pa.array(piece, pa.int32()),
-                        pa.array(start, pa.int32()),
-                        pa.array(tokens, pa.int32()),
-                    ],
-                    names=["container_class", "capacity_tokens", "container_id", "place", "id", "piece_no", "first_token", "n_tokens"],
-                )
-
-        held: list[pa.RecordBatch] = []
-        count = 0
-
-        def flush():
-            whole = pa.Table.from_batches(held).combine_chunks()
-            return pack(whole.column(0).combine_chunks(), whole.column(1).to_numpy())
+        packers = [_Packer(name, capacity, part) for name, capacity in classes]
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for packer in packers:
+                if packer.rows:
+                    columns = zip(*packer.rows, strict=True)
+                    packer.rows = []
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
         for batch in batches:
-            for a in range(0, batch.num_rows, WINDOW):
-                piece = batch.slice(a, WINDOW)
-                held.append(piece)
-                count += piece.num_rows
-                if count >= WINDOW:
-                    yield from flush()
-                    held, count = [], 0
-        if held:
-            yield from flush()
+            for packer in packers:
+                for id_, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    packer.add(id_, size)
+            yield from rows()
+        for packer in packers:
+            while packer.waiting:
+                packer.fill()
+        yield from rows()
 
     return run
 
@@ -187,12 +186,13 @@ def pack(df: DataFrame, id_col: str, text_col: str, classes: list[tuple[str, int
     token in the text.
     """
     classes = sorted({(str(n), int(c)) for n, c in classes if c is not None and c >= 1})
-    items = sized(df, id_col, text_col, tokenizer).withColumn("spread", F.xxhash64("id"))
-    kind = items.schema["id"].dataType.simpleString()
+    items = cut(sized(df, id_col, text_col, tokenizer)).withColumn("spread", F.xxhash64("id"))
+    kind = items.schema["id"].dataType
     sorted_items = items.repartitionByRange("curve", "spread").sortWithinPartitions("curve", "spread").select("id", "n_tokens")
     return sorted_items.mapInArrow(
-        _packing(classes),
-        f"container_class string, capacity_tokens int, container_id bigint, place int, id {kind}, piece_no int, first_token int, n_tokens int",
+        _packing(classes, to_arrow_type(kind)),
+        "container_class string, capacity_tokens int, container_id bigint, place int, "
+        f"id {kind.simpleString()}, piece_no int, first_token int, n_tokens int",
     )
 
 

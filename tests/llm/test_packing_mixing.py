@@ -1,5 +1,6 @@
 """Containers and mixtures: whole items, exact spans, exact quotas."""
 
+import itertools
 import random
 from collections import defaultdict
 
@@ -47,6 +48,24 @@ def test_containers_hold_everything_once(spark, docs):
     assert packing.pack(frame(spark, docs).limit(0), "doc_id", "text", [("small", 64)]).count() == 0
 
 
+def test_containers_hold_neighbours():
+    draw = random.Random(9)
+    packer = packing._Packer("c", 2048, 0)
+    sizes = [min(6000, int(draw.lognormvariate(5.6, 0.8)) + 1) for _ in range(20_000)]
+    for i, n in enumerate(sizes):
+        packer.add(i, n)
+    while packer.waiting:
+        packer.fill()
+    held = defaultdict(list)
+    for row in packer.rows:
+        held[row[2]].append(row[4])
+    assert sum(sizes) / (len(held) * 2048) > 0.97
+    mixed = list(range(len(sizes)))
+    draw.shuffle(mixed)
+    apart, shuffled = (np.mean([b - a for ids in held.values() for a, b in itertools.pairwise(sorted(at[i] for i in ids))]) for at in (range(len(sizes)), mixed))
+    assert apart < 0.1 * shuffled
+
+
 def test_hilbert_neighbours():
     side = 8
     points = np.array([(x, y, z) for x in range(side) for y in range(side) for z in range(side)])
@@ -86,6 +105,28 @@ def test_mixture(spark, docs):
     assert empty_rows.count() == 0 and {r.actual_share for r in empty_shares.collect()} == {0.0}
 
 
+def test_mixture_meets_its_quotas(spark):
+    draw = random.Random(3)
+    data = [(i, "word " * draw.choice((3, 7, 20, 400, 900)), draw.choice("aaaab"), 1) for i in range(600)] + [(700, "word " * 5, "b", 1)] * 4
+    rows, shares = mixing.mixture(frame(spark, data), "doc_id", "text", "source", [("a", 0.7, 1), ("b", 0.3, 3)], shards=4, block_tokens=256, bucket_rows=64)
+    for r in shares.collect():
+        assert abs(r.drawn_tokens - r.quota_tokens) <= 0.002 * r.quota_tokens
+    assert rows.count() == rows.select("id", "round").where("id <> 700").distinct().count() + rows.where("id = 700").count()
+    # partitions hold whole shards, in order
+    parts = rows.rdd.glom().collect()
+    assert sum(len({r.shard for r in p}) for p in parts) == 4
+    assert all([r.shard for r in p] == sorted(r.shard for r in p) for p in parts)
+
+
+def test_blocks_are_permuted(spark):
+    blocks = {"a": 500, "b": 3}
+    shares_of = mixing.split_tree(blocks, 8, 1)
+    got = mixing._shards_of_blocks(spark, blocks, shares_of, 5, 16).collect()
+    assert sorted((r.source, r.block) for r in got) == [(s, i) for s in "ab" for i in range(blocks[s])]
+    for s in "ab":
+        assert [sum(r.source == s and r.shard == k for r in got) for k in range(8)] == shares_of[s]
+
+
 def test_mixture_queries_fill_the_table(spark, tmp_path):
     text = "one two three four five"
     data = [(i, text, "a") for i in range(60)] + [(100 + i, text, None) for i in range(38)] + [(200, text, "b"), (201, text, "other")]
