@@ -4,15 +4,18 @@
    source needs more than ``max_repeats`` rounds over its texts, or a given size, at
    which sources that reach their cap fall short; ``ALL`` is the number of tokens of
    the whole table, texts without a target source included.  A source's quota is share * T.
-2. Each source's texts are put into a random order per round by a hash.  Running
-   token sums are exact and distributed: sums per leading hash bits first, then
-   within those buckets.  A text belongs to the mixture if more than half of it
-   lies before the quota, so a source misses its quota by half a text at most.
+2. Each source's texts stand in a random order by a hash, the same in every round.
+   Running token sums are exact and distributed: sums per leading hash bits (as many as
+   the table's rows need) first, then within those buckets.  The last round takes the
+   texts that end before the quota, and then one by one (``PASSES`` at most) the further
+   text whose size comes closest to what is left, while that brings the source closer to
+   its quota.
 3. A source's order is cut into blocks.  A splitting tree gives each of the output
    shards its exact number of every source's blocks: at each node the node's block
    quotas are split between its halves by a multivariate hypergeometric draw.  The
-   shards take disjoint runs of blocks from a random permutation of the blocks, and
-   order their rows by a hash.
+   shards take disjoint runs of blocks from a random permutation of the blocks (their
+   ranks by a hash), and order their rows by a hash.
+4. Rows come out partitioned by shard (large shards by pieces of their order) and sorted.
 
 Defined results: NULL and empty texts and texts whose source is NULL or has no
 target are not mixed; a source without texts, share or repeats has quota 0; rows of
@@ -22,11 +25,12 @@ shares of 0.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -34,6 +38,9 @@ from ..runtime import cut, ship
 from .tokens import TOKENIZER, token_counts
 
 
+PASSES = 6  #: texts that may fill what the last round leaves of a quota
+BROADCAST_BLOCKS = 500_000  #: blocks up to which the table of their shards is broadcast
+SHARD_ROWS = 1_000_000  #: rows of a shard that are sorted in one task
 #: The size of a mixture as large as its table.
 ALL = -1
 
@@ -80,14 +87,15 @@ def mixture(
     size: int | None = None,
     shards: int = 16,
     block_tokens: int = 4096,
-    bucket_bits: int = 12,
+    bucket_rows: int = 1 << 16,
     seed: int = 7,
     tokenizer: str = TOKENIZER,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, shares).
 
     rows: shard, place (order in the shard), source, id, round (1 = first use),
-    n_tokens.  shares: source, target_share, tokens, max_repeats, quota_tokens,
+    n_tokens; sorted by shard and place within partitions of whole shards or pieces of
+    them.  shares: source, target_share, tokens, max_repeats, quota_tokens,
     drawn_tokens, rounds, actual_share (of the tokens drawn), table_share (of the size
     asked for: below target_share where a source falls short).
     """
@@ -108,53 +116,73 @@ def mixture(
     counted = cut(chosen.mapInArrow(count, f"id {kind}, source string, n_tokens int").where("n_tokens > 0"))
     # one row per target source, and one for the others, comes to the driver
     name = F.when(known, F.col("source"))
-    tokens = {r["source"]: r["n"] for r in counted.groupBy(name.alias("source")).agg(F.sum("n_tokens").alias("n")).collect()}
+    stock = counted.groupBy(name.alias("source")).agg(F.sum("n_tokens").alias("n"), F.count("*").alias("rows")).collect()
+    tokens = {r["source"]: r["n"] for r in stock}
     if size == ALL:
         size = sum(tokens.values())
     tokens.pop(None, None)
-    sized = counted.where(known)
     quota = quotas(tokens, targets, size)
     rounds = {s: -(-q // tokens[s]) for s, q in quota.items() if q > 0}
     plan = spark.createDataFrame(
-        [(s, quota[s], rounds[s], tokens[s]) for s in sorted(rounds)] or [("", 0, 0, 0)], "source string, quota long, rounds int, stock long"
+        [(s, quota[s], rounds[s], tokens[s], quota[s] - (rounds[s] - 1) * tokens[s]) for s in sorted(rounds)] or [("", 0, 0, 0, 0)],
+        "source string, quota long, rounds int, stock long, last long",
     )
-    used = sized.join(F.broadcast(plan), "source").where("rounds > 0")
-    used = used.select("*", F.explode(F.sequence(F.lit(1), F.col("rounds"))).alias("round"))
-    order = F.xxhash64(F.lit(seed), "round", "id")
-    used = used.withColumn("turn", order).withColumn("bucket", F.shiftrightunsigned("turn", 64 - bucket_bits))
-    by_bucket = used.groupBy("source", "round", "bucket").agg(F.sum("n_tokens").alias("held"))
-    # at most 2 ** bucket_bits sums of each source and round are in one window
+    bits = max(0, math.ceil(math.log2(max([1, *(r["rows"] for r in stock)]) / bucket_rows)))
+    turned = counted.where(known).withColumn("row", F.monotonically_increasing_id()).withColumn("turn", F.xxhash64(F.lit(seed), "id"))
+    bucket = F.shiftrightunsigned("turn", 64 - bits) if bits else F.lit(0).cast("long")
+    turned = turned.join(F.broadcast(plan), "source").where("rounds > 0").withColumn("bucket", bucket)
+    by_bucket = turned.groupBy("source", "bucket").agg(F.sum("n_tokens").alias("held"))
+    # a source's rows / bucket_rows sums are in one window
     before = by_bucket.withColumn(
-        "before", F.coalesce(F.sum("held").over(W.partitionBy("source", "round").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+        "before", F.coalesce(F.sum("held").over(W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     ).drop("held")
-    inside = W.partitionBy("source", "round", "bucket").orderBy("turn", "id", "n_tokens").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("source", "bucket").orderBy("turn", "row").rowsBetween(W.unboundedPreceding, -1)
+    ordered = cut(
+        turned.withColumn("within", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
+        .join(before, ["source", "bucket"])
+        .withColumn("start", F.col("before") + F.col("within"))
+        .drop("before", "within", "bucket")
+    )
+    # the last round: one row per target source comes to the driver in each pass
+    whole = F.col("start") + F.col("n_tokens") <= F.col("last")
+    filled = {r["source"]: r["n"] for r in ordered.where(whole).groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}
+    gaps = {s: quota[s] - (rounds[s] - 1) * tokens[s] - filled.get(s, 0) for s in rounds}
+    last_rows: list[int] = []
+    for _ in range(PASSES):
+        open_gaps = sorted((s, g) for s, g in gaps.items() if g > 0)
+        if not open_gaps:
+            break
+        off = F.abs(F.col("n_tokens") - F.col("gap"))
+        closest = (
+            ordered.where(~whole & ~F.col("row").isin(last_rows))
+            .join(F.broadcast(spark.createDataFrame(open_gaps, "source string, gap long")), "source")
+            .where(off < F.col("gap"))
+            .groupBy("source")
+            .agg(F.min(F.struct(off.alias("off"), "turn", "row", "n_tokens")).alias("best"))
+        )
+        best = {r["source"]: r["best"] for r in closest.collect()}
+        last_rows += [b["row"] for b in best.values()]
+        gaps = {s: g - best[s]["n_tokens"] for s, g in open_gaps if s in best}
+    uses = F.col("rounds") - 1 + (whole | F.col("row").isin(last_rows)).cast("int")
     placed = (
-        used.withColumn("within", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
-        .join(before, ["source", "round", "bucket"])
-        .withColumn("start", F.col("before") + F.col("within") + (F.col("round") - 1) * F.col("stock"))
-        .where("start + n_tokens / 2 <= quota")
-        .withColumn("block", F.floor(F.col("start") / block_tokens))
+        ordered.withColumn("uses", uses)
+        .where("uses > 0")
+        .select("source", "id", "n_tokens", "start", "stock", "quota", "row", F.explode(F.sequence(F.lit(1), F.col("uses"))).alias("round"))
+        .withColumn("at", F.least(F.col("start") + (F.col("round") - 1) * F.col("stock"), F.col("quota") - 1))
+        .withColumn("block", F.floor(F.col("at") / block_tokens))
     )
-    blocks = {s: quota[s] // block_tokens + 1 for s in rounds}
-    shares_of = split_tree(blocks, shards, seed)
-    # runs of permuted blocks: (source, first, last) -> shard; sources * shards rows
-    runs = []
-    for s, sizes in shares_of.items():
-        at = 0
-        for shard, n in enumerate(sizes):
-            if n:
-                runs.append((s, at, at + n, shard))
-            at += n
-    run_table = spark.createDataFrame(runs or [("", 0, 0, 0)], "source string, first long, last long, shard int")
-    # the permutation of a source's blocks: multiplication by a unit modulo their number
-    steps = {s: _unit(n, seed) for s, n in blocks.items()}
-    step_table = spark.createDataFrame([(s, n, *steps[s]) for s, n in blocks.items()] or [("", 1, 1, 0)], "source string, n_blocks long, step long, shift long")
+    blocks = {s: -(-quota[s] // block_tokens) for s in rounds}
+    shard_of = _shards_of_blocks(spark, blocks, split_tree(blocks, shards, seed), seed, bucket_rows)
+    if sum(blocks.values()) <= BROADCAST_BLOCKS:
+        shard_of = F.broadcast(shard_of)
+    drawn_rows = sum(r["rows"] * rounds.get(r["source"], 0) for r in stock)
+    piece_bits = max(0, math.ceil(math.log2(max(1, drawn_rows) / shards / SHARD_ROWS)))
+    piece = F.shiftrightunsigned("place", 64 - piece_bits) if piece_bits else F.lit(0)
     rows = (
-        placed.join(F.broadcast(step_table), "source")
-        .withColumn("seat", F.pmod(F.col("block") * F.col("step") + F.col("shift"), F.col("n_blocks")))
-        .join(F.broadcast(run_table), "source")
-        .where("seat >= first and seat < last")
+        placed.join(shard_of, ["source", "block"])
         .select("shard", F.xxhash64(F.lit(seed + 1), "round", "id").alias("place"), "source", "id", "round", "n_tokens")
+        .repartition("shard", piece)
+        .sortWithinPartitions("shard", F.shiftrightunsigned("place", 1), "place", "id")
     )
     drawn = placed.groupBy("source").agg(F.sum("n_tokens").alias("drawn_tokens"), F.max("round").alias("rounds"))
     wanted = spark.createDataFrame(
@@ -169,12 +197,30 @@ def mixture(
     return rows, shares
 
 
-def _unit(n: int, seed: int) -> tuple[int, int]:
-    """A factor without a common divisor with n, and a shift."""
-    from math import gcd
-
-    draw = np.random.default_rng([seed, n])
-    while True:
-        step = int(draw.integers(1, max(2, n)))
-        if gcd(step, max(n, 1)) == 1:
-            return step, int(draw.integers(0, max(1, n)))
+def _shards_of_blocks(spark: SparkSession, blocks: dict[str, int], shares_of: dict[str, list[int]], seed: int, bucket_rows: int) -> DataFrame:
+    """(source, block, shard): the blocks' ranks by a hash, cut where the shards' runs end."""
+    names = sorted(blocks)
+    if not names:
+        return spark.createDataFrame([], "source string, block long, shard int")
+    firsts = np.cumsum([0] + [blocks[s] for s in names]).tolist()
+    every = spark.range(firsts[-1])
+    number = F.size(F.filter(F.array(*map(F.lit, firsts)), lambda x: x <= F.col("id"))) - 1
+    every = every.withColumn("number", number).select(
+        F.element_at(F.array(*map(F.lit, names)), F.col("number") + 1).alias("source"),
+        (F.col("id") - F.element_at(F.array(*map(F.lit, firsts)), F.col("number") + 1)).alias("block"),
+    )
+    bits = max(0, math.ceil(math.log2(max(blocks.values()) / bucket_rows)))
+    every = every.withColumn("turn", F.xxhash64(F.lit(seed), "source", "block"))
+    every = every.withColumn("bucket", F.shiftrightunsigned("turn", 64 - bits) if bits else F.lit(0).cast("long"))
+    before = every.groupBy("source", "bucket").agg(F.count("*").alias("held")).withColumn(
+        "before", F.coalesce(F.sum("held").over(W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    )
+    rank = F.row_number().over(W.partitionBy("source", "bucket").orderBy("turn", "block")) - 1
+    ends = spark.createDataFrame([(s, np.cumsum(shares_of[s]).tolist()) for s in names], "source string, ends array<long>")
+    return (
+        every.withColumn("rank", rank)
+        .join(before.select("source", "bucket", "before"), ["source", "bucket"])
+        .join(F.broadcast(ends), "source")
+        .withColumn("seat", F.col("before") + F.col("rank"))
+        .select("source", "block", F.size(F.filter("ends", lambda e: e <= F.col("seat"))).alias("shard"))
+    )
