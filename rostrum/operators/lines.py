@@ -77,7 +77,7 @@ def end_markers(lines: DataFrame, keys: list[str]) -> DataFrame:
     return marked.where(" or ".join(kinds))
 
 
-#: Labels that stand in one line, as the daily edition prints them.
+#: Fixed value: labels that stand in one line, as the daily edition prints them.
 LINE_LABEL = (
     r"^ {1,2}((?:M(?:r|rs|s)[.,]|Miss|Chairman|Chairwoman|HON\.|Hon|Dr\.) (?:[A-Z]\. )*[A-Z][a-z]{0,3}[A-Za-z'’]+(?: [A-Z][a-z]{0,3}[A-Za-z'’]+)*"
     r"(?: of [A-Z][a-zA-Z]+(?: [A-Z][a-zA-Z]+)*)?)\."

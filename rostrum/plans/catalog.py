@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -113,6 +114,65 @@ def speaker_segments_daily(spark: SparkSession, folder: str) -> DataFrame:
     return segment.segment(_documents(spark, folder), "doc_id", "text", "daily")
 
 
+def _rows_of(df: DataFrame, text: str, function, column: str, kind: str) -> DataFrame:
+    """``df`` with what a function of the segmenter makes of each text."""
+    made = F.pandas_udf(kind)(_texts_mapped(function))
+    return df.select("doc_id", made(F.col(text)).alias(column))
+
+
+def _texts_mapped(function):
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(function)
+
+    return run
+
+
+@query(
+    f"""with {_LINES.replace("(text", "(replace(text, chr(12), chr(10))")},
+    marked as (select *, case when line_no % 7 = 3 then '=====' || line else line end as l from lines),
+    counted as (select *, sum(case when regexp_matches(l, '^[ \\t]*={{5,}}') then 1 else 0 end) over (partition by doc_id order by line_no rows between unbounded preceding and current row) as n,
+        max(line_no) over (partition by doc_id) as last from marked)
+    select doc_id, coalesce(string_agg(l || case when line_no < last then chr(10) else '' end, '' order by line_no)
+        filter (where n % 2 = 0 or regexp_matches(l, '^[ \\t]*={{5,}}')), '') as kept from counted group by doc_id"""
+)
+def segment_notes(spark: SparkSession, folder: str) -> DataFrame:
+    """What the segmenter keeps of texts in which every seventh line is a note marker (form feeds taken for line feeds)."""
+    lines = F.transform(F.split(F.translate("text", "\f", "\n"), "\n"), lambda x, i: F.when(i % 7 == 3, F.concat(F.lit("====="), x)).otherwise(x))
+    marked = _documents(spark, folder).withColumn("text", F.array_join(lines, "\n"))
+    return _rows_of(marked, "text", segment.without_notes, "kept", "string")
+
+
+@query(
+    r"""select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+        text, '\([^)]*asked and was given permission[^)]*\)[\s\x0b\x1c-\x1f\x{85}\x{a0}]*', '', 'g'), '[-_]{3,}', '', 'g'), '\{time\}[\s\x0b\x1c-\x1f\x{85}\x{a0}]*[0-9]{2,4}', '', 'g'),
+        '\[Roll[^\]\r\n]*\]', '', 'g'), '\[\[Page [A-Za-z0-9]{1,10}\]\]', '', 'g'), '(?is)<title>.*?</title>', '', 'g'), '</?[^>]+>', '', 'g') as cleaned
+    from documents where text is not null"""
+)
+def segment_clean(spark: SparkSession, folder: str) -> DataFrame:
+    """The segmenter's own cleaning of whole texts."""
+    return _rows_of(_documents(spark, folder), "text", segment.clean, "cleaned", "string")
+
+
+def _label_oracle(key: str, text: str, rows: str, label: str) -> str:
+    label = label.replace("'", "''").replace("\\s", "[\\s\\x0b]").replace("\u2019", "\u2019")
+    return f"""with t as (select {key}, regexp_extract_all(replace({text}, chr(160), ' '), '(?m){label}') as labels from {rows} where {text} is not null and not contains({text}, '====='))
+    select {key}, cast(i as integer) as speech_no, rtrim(trim(labels[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '.') as speaker
+    from t, unnest(range(1, len(labels) + 1)) as u(i)"""
+
+
+@query(_label_oracle("doc_id", "text", "documents", segment.DIALECTS["daily"].label.pattern))
+def segment_labels_daily(spark: SparkSession, folder: str) -> DataFrame:
+    """The labels of the segmenter in order, without notes."""
+    return segment.segment(_documents(spark, folder).where(~F.col("text").contains("=====")), "doc_id", "text", "daily").select("doc_id", "speech_no", "speaker")
+
+
+@query(_label_oracle("speech_id", "speech", "(select speech_id, replace(speech, '-', '~') as speech from parsed_crecb_speeches)", segment.DIALECTS["bound"].label.pattern))
+def segment_labels_bound(spark: SparkSession, folder: str) -> DataFrame:
+    """The same in the bound dialect, hyphens replaced, so that no label is broken by one."""
+    s = _speech_texts(spark, folder).withColumn("speech", F.replace("speech", F.lit("-"), F.lit("~"))).where(~F.col("speech").contains("====="))
+    return segment.segment(s, "speech_id", "speech", "bound").select("speech_id", "speech_no", "speaker")
+
+
 @query()
 def speaker_segments_bound(spark: SparkSession, folder: str) -> DataFrame:
     return segment.segment(_speech_texts(spark, folder), "speech_id", "speech", "bound")
@@ -301,17 +361,20 @@ def title_assignment(spark: SparkSession, folder: str) -> DataFrame:
     return debates.assign_titles(_ordered_speeches(spark, folder), "filename", "_order", "speech").select("speech_id", "filename", "title", "speech")
 
 
+#: Line ends of all kinds as line feeds, none at the end.
+_UNIVERSAL = r"""regexp_replace(regexp_replace(text, '\r\n|[\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]', chr(10), 'g'), '\n$', '')"""
+
+
 @query(
-    f"""with {_LINES}, t as (select doc_id, upper(trim(regexp_replace(max(case when line_no = 0 then line end), '\\s+', ' ', 'g'))) as title from lines group by doc_id),
-    k as (select l.doc_id, string_agg(line, chr(10) order by line_no) as body from lines l join t using (doc_id)
-        where title = '' or not starts_with(upper(trim(regexp_replace(line, '\\s+', ' ', 'g'))), title) group by l.doc_id)
-    select doc_id, coalesce(body, '') as body from t left join k using (doc_id)"""
+    f"""with t as (select doc_id, text, upper(trim(regexp_replace(string_split(text, chr(10))[1], '[\\s\\x0b\\x{{a0}}]+', ' ', 'g'))) as title, string_split({_UNIVERSAL}, chr(10)) as parts
+        from documents where text is not null)
+    select doc_id, case when title = '' then text else array_to_string(
+        list_filter(parts, lambda x: not starts_with(upper(trim(regexp_replace(x, '[\\s\\x0b\\x{{a0}}]+', ' ', 'g'))), title)), chr(10)) end as body from t"""
 )
 def strip_assigned_title(spark: SparkSession, folder: str) -> DataFrame:
     """A document's first line taken for its title."""
-    d = _documents(spark, folder).withColumn("title", F.element_at(F.split("text", "\n"), 1))
-    kept = F.filter(F.split("text", "\n"), lambda x: ~T.normalize_title(x).startswith(T.normalize_title("title")))
-    return d.select("doc_id", F.when(T.normalize_title("title") == "", F.col("text")).otherwise(F.array_join(kept, "\n")).alias("body"))
+    d = _documents(spark, folder).withColumn("title", T.strip(F.element_at(F.split("text", "\n"), 1)))
+    return d.select("doc_id", T.without_title("text", "title").alias("body"))
 
 
 @query(
@@ -374,9 +437,9 @@ def package_order(spark: SparkSession, folder: str) -> DataFrame:
 )
 def granule_numbering(spark: SparkSession, folder: str) -> DataFrame:
     x = table(spark, folder, "raw_xml").where("issue_day is not null and granule_id is not null").select("xml_id", "granule_id", "issue_day", "mods_xml")
-    has = F.coalesce(F.length("mods_xml") > 0, F.lit(False))
-    number = F.sum(has.cast("int")).over(W.partitionBy("issue_day").orderBy("granule_id", "xml_id").rowsBetween(W.unboundedPreceding, 0))
-    return x.select("granule_id", "issue_day", F.when(has, F.concat(number.cast("string"), F.lit("-"), "granule_id", F.lit(".xml"))).alias("mods_file"), "xml_id")
+    # records fetched twice are told apart by their id
+    numbered = files.number_granules(x, "issue_day", ["granule_id", "xml_id"], {"mods_xml": "xml"})
+    return numbered.select("granule_id", "issue_day", F.col("mods_xml_file").alias("mods_file"), "xml_id")
 
 
 @query(
@@ -387,9 +450,7 @@ def granule_numbering(spark: SparkSession, folder: str) -> DataFrame:
 def year_numbering(spark: SparkSession, folder: str) -> DataFrame:
     s = table(spark, folder, "granule_summary").where("dateissued <> '' and granule_id <> '' and package_id <> ''")
     s = s.select("granule_id", "package_id", "title", T.issue_year("dateissued").alias("issue_year")).distinct()
-    number = F.row_number().over(W.partitionBy("issue_year").orderBy("package_id", "granule_id", F.col("title").asc_nulls_first()))
-    name = F.concat_ws("-", number.cast("string"), T.sanitize_filename(F.coalesce("title", F.lit(""))), F.concat_ws("_", "package_id", "granule_id"))
-    return s.withColumn("file_name", name)
+    return files.number_in_year(s, "issue_year", ["package_id", "granule_id", F.col("title").asc_nulls_first()], "package_id", "granule_id", "title")
 
 
 @query("select distinct package_id, granule_id from granule_summary g where granule_id <> '' and package_id <> '' and not exists (select 1 from raw_xml x where x.granule_id = g.granule_id and x.mods_xml <> '')")

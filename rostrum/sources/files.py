@@ -43,12 +43,16 @@ def write_days(df: DataFrame, day: str, path: str) -> None:
     parts.write.mode("overwrite").partitionBy("year", "month", "day_of_month").parquet(path)
 
 
-def number_granules(df: DataFrame, day: str, granule: str, kinds: dict[str, str]) -> DataFrame:
-    """Adds for each kind of content a file name 'N-granule.ext'; N counts the day's granules that have that content."""
-    out = df
+def number_granules(df: DataFrame, day: str, order: str | list[str], kinds: dict[str, str]) -> DataFrame:
+    """Adds for each kind of content a file name 'N-granule.ext'; N counts the day's granules that have that content.
+
+    ``order``: the granule's column, and others that tell its rows apart.
+    """
+    order = [order] if isinstance(order, str) else order
+    granule, out = order[0], df
     for column, extension in kinds.items():
         has = F.coalesce(F.length(column) > 0, F.lit(False))
-        number = F.sum(has.cast("int")).over(W.partitionBy(day).orderBy(granule).rowsBetween(W.unboundedPreceding, 0))
+        number = F.sum(has.cast("int")).over(W.partitionBy(day).orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
         out = out.withColumn(f"{column}_file", F.when(has, F.concat(number.cast("string"), F.lit("-"), F.col(granule), F.lit(f".{extension}"))))
     return out
 
@@ -56,7 +60,7 @@ def number_granules(df: DataFrame, day: str, granule: str, kinds: dict[str, str]
 def number_in_year(df: DataFrame, year: str, order: list[str], package: str, granule: str, title: str) -> DataFrame:
     """Adds ``file_name`` 'N-title-package_granule', N counting in each year."""
     number = F.row_number().over(W.partitionBy(year).orderBy(*order))
-    name = F.concat_ws("-", number.cast("string"), sanitize_filename(title), F.concat_ws("_", F.col(package), F.col(granule)))
+    name = F.concat_ws("-", number.cast("string"), sanitize_filename(F.coalesce(F.col(title), F.lit(""))), F.concat_ws("_", F.col(package), F.col(granule)))
     return df.withColumn("file_name", name)
 
 
