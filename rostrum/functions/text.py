@@ -34,10 +34,24 @@ def universal_newlines(c: Column | str) -> Column:
     return F.regexp_replace(_col(c), "\r\n?", "\n")
 
 
+def _unless_ascii(c: Column, changed: Column) -> Column:
+    """``changed`` where the text has characters beyond ASCII, for which alone it is worth while to look."""
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(changed)
+
+
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def splitlines(c: Column | str) -> Column:
     """Array of lines without their ends; no element for what follows a last line end."""
-    parts = F.split(_col(c), LINE_END, -1)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    # by plain replacements, which are far cheaper than a regular expression where there is nothing to replace
+    lines = _col(c)
+    for end in ("\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029"):
+        lines = F.replace(lines, F.lit(end), F.lit("\n"))
+    parts = _bound(lines, lambda x: F.split(F.when(x.endswith("\n"), F.left(x, F.length(x) - 1)).otherwise(x), "\n", -1))
+    return F.when(_col(c) == "", F.array().cast("array<string>")).otherwise(parts)
 
 
 # --- cleaning ----------------------------------------------------------------
@@ -63,14 +77,15 @@ def clean_extraneous(c: Column | str) -> Column:
 
 def normalize_characters(c: Column | str) -> Column:
     """Odd blanks to blanks, invisible marks deleted, curly quotes straightened, an ellipsis to three dots."""
-    blanks, quotes = "    ", "’‘“”"
-    gone = "﻿⁠‎‏‪‫‬‭‮"
-    return F.replace(F.translate(_col(c), blanks + quotes + gone, "    ''\"\""), F.lit("…"), F.lit("..."))
+    blanks, quotes = "\xa0\u2009\u202f\u2007", "\u2019\u2018\u201c\u201d"
+    gone = "\ufeff\u2060\u200e\u200f\u202a\u202b\u202c\u202d\u202e"
+    changed = F.replace(F.translate(_col(c), blanks + quotes + gone, "    ''\"\""), F.lit("\u2026"), F.lit("..."))
+    return _unless_ascii(_col(c), changed)
 
 
 def normalize_line(c: Column | str) -> Column:
     """Zero-width characters and soft or fixed hyphens deleted, long dashes to hyphens."""
-    return F.translate(_col(c), "—–​‌‍­‑", "--")
+    return _unless_ascii(_col(c), F.translate(_col(c), "\u2014\u2013\u200b\u200c\u200d\xad\u2011", "--"))
 
 
 # --- names, files, dates -----------------------------------------------------
@@ -152,39 +167,6 @@ def more_than_half_capitals(c: Column | str) -> Column:
     return F.regexp_count(s, F.lit(r"\p{Lu}")) * 2 > F.regexp_count(s, F.lit(r"\p{L}"))
 
 
-def capital_share(line: Column | str, skip: str = "report") -> Column:
-    """Share of capitals in the A-Z letters of a line's words, without the word ``skip``; 0 without letters."""
-    other = "[^A-Za-z" + SPACE[1:-1] + "]*"
-    word = "(?i)(?<![^" + SPACE[1:-1] + "])" + other + "".join(c + other for c in skip) + "(?![^" + SPACE[1:-1] + "])"
-    kept = F.when(F.lower(_col(line)).contains(skip), F.regexp_replace(_col(line), word, "")).otherwise(_col(line))
-    letters = F.regexp_count(kept, F.lit("[A-Za-z]"))
-    return F.when(letters > 0, F.regexp_count(kept, F.lit("[A-Z]")) / letters).otherwise(F.lit(0.0))
-
-
-def alpha_words(line: Column | str) -> Column:
-    """Number of blank-separated words with an A-Z letter."""
-    blank = SPACE[1:-1]
-    return F.regexp_count(_col(line), F.lit(f"[^A-Za-z{blank}]*+[A-Za-z][^{blank}]*+"))
-
-
-def capital_words(line: Column | str) -> Column:
-    """Number of words of two letters or more, none of them small, punctuation at the ends apart."""
-    words = F.transform(F.split(_col(line), SPACE + "+"), lambda w: F.regexp_replace(w, r"^[,.;:!?—–\-()\[\]{}<>\"'`]+|[,.;:!?—–\-()\[\]{}<>\"'`]+$", ""))
-    return F.size(F.filter(words, lambda w: (F.regexp_count(w, F.lit("[A-Za-z]")) >= 2) & ~w.rlike("[a-z]")))
-
-
-def letters_in(line: Column | str) -> Column:
-    return F.regexp_count(_col(line), F.lit("[A-Za-z]"))
-
-
-def is_boilerplate_title(line: Column | str) -> Column:
-    """Lines that name the record, the printer or its seal, and so never are titles."""
-    low = F.lower(_col(line))
-    letters = F.regexp_replace(low, "[^a-z]", "")
-    only_seal = low.rlike("^[^a-z]*(?:(?:gpo|authenticated|authentication|authentic|information)(?![a-z])[^a-z]*)+$")
-    return letters.contains("congressionalrecord") | letters.isin("usgovernment", "usgoverment") | only_seal
-
-
 def normalize_title(c: Column | str) -> Column:
     return F.upper(strip(F.regexp_replace(_col(c), SPACE + "+", " ")))
 

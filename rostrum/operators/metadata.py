@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
@@ -133,16 +133,22 @@ def day_texts(pages: DataFrame, day: str, filename: str, html: str) -> DataFrame
     return rows.select(day, F.array_join(pieces, "").alias("text"), starts.alias("files"))
 
 
-def chamber_markers(df: DataFrame, key: str, text: str) -> DataFrame:
-    """key, offset, chamber: the lines that are only HOUSE or SENATE.  An offset lies at the first of the blank lines before."""
-    import re
+_CHAMBER = re.compile(r"^\s*(HOUSE|SENATE)\s*$", re.M)
+_MARKS = ArrayType(StructType([StructField("start", IntegerType()), StructField("value", StringType())]))
+
+
+@F.pandas_udf(_MARKS)
+def _chambers(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: [{"start": m.start(), "value": m[1][0]} for m in _CHAMBER.finditer(t or "")])
 
-    pattern = re.compile(r"^\s*(HOUSE|SENATE)\s*$", re.M)
-    ship(df.sparkSession)
 
-    @F.pandas_udf("array<struct<offset:int, chamber:string>>")
-    def found(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [{"offset": m.start(), "chamber": m[1][0]} for m in pattern.finditer(t or "")])
+def chamber_marks(text: str) -> Column:
+    """(start, value) of the lines that are only HOUSE or SENATE, as H or S.  A start lies at the first of the blank lines before."""
+    likely = F.col(text).contains("HOUSE") | F.col(text).contains("SENATE")
+    return F.coalesce(_chambers(F.when(likely, F.col(text))), F.array().cast(_MARKS))
 
-    likely = df.where(F.col(text).rlike("HOUSE|SENATE"))
-    return likely.select(key, F.explode(found(text)).alias("m")).select(key, "m.offset", "m.chamber")
+
+def chamber_markers(df: DataFrame, key: str, text: str) -> DataFrame:
+    """key, offset, chamber: the ``chamber_marks`` of each text as rows."""
+    ship(df.sparkSession)
+    return df.select(key, F.explode(chamber_marks(text)).alias("m")).select(key, F.col("m.start").alias("offset"), F.col("m.value").alias("chamber"))

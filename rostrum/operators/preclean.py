@@ -1,19 +1,20 @@
 """Boilerplate lines out of scanned volumes: which line goes, and why.
 
 Rules are tried in a fixed order and the first that fits names the reason.  All but
-the similarity ratio are native expressions; the ratio's Python function sees only
-lines whose length allows a hit.
+the similarity ratio are native expressions; one Python call scores the lines whose
+length and letters allow a hit, the others are NULL to it.
 """
 
 from __future__ import annotations
 
 from difflib import SequenceMatcher
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, StringType
 
 from ..functions.text import more_than_half_capitals, normalize_characters, normalize_line, splitlines, strip
 from ..runtime import ship
@@ -28,16 +29,35 @@ SEAL_WORDS = ["AUTHENTICATED", "AUTHENTICATE", "AUTHENTICATION", "AUTHENTIC", "I
 RECORD, HOUSE, SENATE = "CONGRESSIONAL RECORD", "HOUSE OF REPRESENTATIVES", "SENATE"
 
 
-@F.pandas_udf(DoubleType())
-def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+def ratio(a: str, b: str) -> float:
     """Ratcliff and Obershelp's ratio of a to b; the order of the two matters."""
-    return pd.Series([SequenceMatcher(None, x, y).ratio() if x is not None and y is not None else None for x, y in zip(a, b, strict=True)], dtype=float)
+    return SequenceMatcher(None, a, b).ratio()
 
 
-def _similar(up: Column, target: str, least: float, shortest: int, longest: int) -> Column:
-    """Whether the ratio reaches ``least``; outside the lengths it can't."""
-    possible = F.length(up).between(shortest, longest)
-    return possible & (similarity(F.when(possible, up), F.lit(target)) >= least)
+#: name: (text, least ratio, lengths between which it can be reached).
+_ALIKE = {"house": (HOUSE, 0.90, 20, 29), "senate": (SENATE, 0.83, 5, 8), "record": (RECORD, 0.90, 17, 24)}
+_SCORED = ArrayType(StringType())
+
+
+@F.pandas_udf(_SCORED)
+def _alike(up: pd.Series) -> pd.Series:
+    """Names of the headings that a line resembles."""
+
+    def names(x: str) -> list[str]:
+        return [n for n, (target, least, low, high) in _ALIKE.items() if low <= len(x) <= high and ratio(x, target) >= least]
+
+    return up.map(cache(names), na_action="ignore")
+
+
+def _scored(lines: DataFrame) -> DataFrame:
+    """Adds ``_is``: the headings that ``_up`` resembles, by one call; lines that can't resemble any are NULL to it."""
+    size = F.length("_up")
+    possible = F.lit(False)
+    for target, least, low, high in _ALIKE.values():
+        # of the target's letters at least this share must be there
+        letters = F.length(F.regexp_replace("_up", f"[^{''.join(sorted(set(target)))}]+", ""))
+        possible = possible | (size.between(low, high) & (letters >= F.floor(least * (size + len(target)) / 2)))
+    return lines.withColumn("_is", F.coalesce(_alike(F.when(possible, F.col("_up"))), F.array().cast(_SCORED)))
 
 
 def names_only_record(line: Column) -> Column:
@@ -76,15 +96,16 @@ def reasons(lines: DataFrame, keys: list[str]) -> DataFrame:
     line = F.col("clean_line")
     up, bare = F.col("_up"), F.col("_bare")
     year = F.when(bare.rlike("^[0-9]{4}$"), bare.cast("int"))
-    house = _similar(up, HOUSE, 0.90, 20, 29) & more_than_half_capitals(line)
-    senate = _similar(up, SENATE, 0.83, 5, 8) & more_than_half_capitals(line)
+    house = F.array_contains("_is", "house") & more_than_half_capitals(line)
+    senate = F.array_contains("_is", "senate") & more_than_half_capitals(line)
     named = lines.withColumn("clean_line", normalize_line("line")).withColumn("_bare", strip(line)).withColumn("_up", F.upper("_bare"))
+    named = _scored(named)
     first = (
         F.when(year.between(1873, 1994), "hdr_year_1873_1994")
         .when(up.contains(RECORD) & names_only_record(line), "hdr_contains_CONGRESSIONAL_RECORD")
         .when(house, "hdr_fuzzy_HOUSE_OF_REPRESENTATIVES")
         .when(senate, "hdr_fuzzy_SENATE")
-        .when(_similar(up, RECORD, 0.90, 17, 24) & names_only_record(line), "hdr_fuzzy_CONGRESSIONAL_RECORD")
+        .when(F.array_contains("_is", "record") & names_only_record(line), "hdr_fuzzy_CONGRESSIONAL_RECORD")
         .when(is_seal(line, up), "hdr_auth_gpo_line")
     )
     named = named.withColumn("_first", first)
@@ -99,7 +120,7 @@ def reasons(lines: DataFrame, keys: list[str]) -> DataFrame:
         F.when(skipped, "hdr_skip_next_after_chamber_header"),
         F.when(nearly_contains_record(line), "fuzzy_CONGRESSIONAL_RECORD_lev_leq1"),
     )
-    return named.withColumn("reason", reason).drop("_first", "_chain", "_after", "_bare", "_up")
+    return named.withColumn("reason", reason).drop("_first", "_chain", "_after", "_bare", "_up", "_is")
 
 
 def text_lines(df: DataFrame, keys: list[str], text: str) -> DataFrame:

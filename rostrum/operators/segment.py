@@ -8,6 +8,7 @@ its events, sorted by place.  The operator is narrow: a text is never shuffled.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -168,6 +169,38 @@ def segment(df: DataFrame, key: str, text: str, dialect: str = "daily") -> DataF
     return source.mapInArrow(run, f"`{key}` {source.schema[key].dataType.simpleString()}, speech_no int, speaker string, speech string, place int")
 
 
+def placed(df: DataFrame, keys: list[str], text: str, marks: str, dialect: str = "daily") -> DataFrame:
+    """keys, speech_no, speaker, speech, mark: the speeches of each text and the mark at or before the place where each is found again.
+
+    A speech is looked for, cleaned as it is, from the end of the one before; one that
+    isn't found lies there.  ``marks`` is a column of (start, value) in the order of
+    their starts.  One narrow pass: neither texts nor speeches are shuffled.
+    """
+    ship(df.sparkSession)
+    chosen = DIALECTS[dialect]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, no, who, said, mark = [], [], [], [], []
+            for i, (text, found) in enumerate(zip(batch.column(len(keys)).to_pylist(), batch.column(len(keys) + 1).to_pylist(), strict=True)):
+                starts = [m["start"] for m in found or ()]
+                cursor = 0
+                for n, (label, speech, _) in enumerate(speeches(text, chosen), 1):
+                    place = text.find(speech, cursor)
+                    place = cursor if place < 0 else place
+                    cursor = place + len(speech)
+                    before = bisect_right(starts, place) - 1
+                    at.append(i), no.append(n), who.append(label), said.append(speech), mark.append(found[before]["value"] if before >= 0 else None)
+            rows = pa.array(at, pa.int64())
+            own = [batch.column(c).take(rows) for c in range(len(keys))]
+            columns = [*own, pa.array(no, pa.int32()), pa.array(who, pa.string()), pa.array(said, pa.string()), pa.array(mark, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keys, "speech_no", "speaker", "speech", "mark"])
+
+    source = df.select(*keys, F.col(text).alias("_text"), F.col(marks).alias("_marks")).where("_text is not null")
+    kinds = "".join(f"`{k}` {source.schema[k].dataType.simpleString()}, " for k in keys)
+    return source.mapInArrow(run, f"{kinds}speech_no int, speaker string, speech string, mark string")
+
+
 def register(spark) -> None:
     """``scrape_speeches(text, dialect)`` as a table function for SQL: LATERAL scrape_speeches(...)."""
     from pyspark.sql.functions import udtf

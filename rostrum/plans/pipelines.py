@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import debates, metadata, preclean, segment
-from ..operators.asof import asof_backward, cursor_offsets, last_per_key
+from ..operators.asof import last_per_key
+from ..runtime import ship
 
 CREC_COLUMNS = [
     "date", "granule_id", "title", "speaker", "text", "bioGuideId", "full_name", "party", "state", "gender", "chamber", "speaker_chamber",
@@ -44,12 +45,8 @@ def daily(pages: DataFrame, members: DataFrame, granule_titles: DataFrame, attri
         rows = found.select(parts[0].alias("date"), T.granule_of_filename(parts[1]).alias("granule_id"), "speaker", F.col("speech").alias("text"))
         return enrich(rows, members, granule_titles)
     texts = metadata.day_texts(pages, "day", "filename", "html")
-    found = segment.segment(texts, "day", "text", "daily")
-    ordered = found.groupBy("day").agg(F.array_sort(F.collect_list(F.struct("speech_no", "speaker", "speech"))).alias("_s"))
-    joined = texts.join(ordered, "day").withColumn("_parts", F.transform("_s", lambda x: x["speech"]))
-    places = cursor_offsets(joined, "day", "text", "_parts").select("day", (F.col("part_no") + 1).alias("speech_no"), "offset")
-    marks = texts.select("day", F.explode("files").alias("f")).select("day", F.col("f.start").alias("offset"), F.col("f.filename").alias("filename"))
-    placed = asof_backward(found.join(places, ["day", "speech_no"]), marks, ["day"], "offset", ["filename"])
+    marks = F.transform("files", lambda f: F.struct(f["start"].alias("start"), f["filename"].alias("value")))
+    placed = segment.placed(texts.withColumn("_m", marks), ["day"], "text", "_m", "daily").withColumnRenamed("mark", "filename")
     rows = placed.select(
         F.col("day").cast("string").alias("date"), T.granule_of_filename("filename").alias("granule_id"), "speaker", F.col("speech").alias("text")
     )
@@ -59,31 +56,37 @@ def daily(pages: DataFrame, members: DataFrame, granule_titles: DataFrame, attri
 def bound_speeches(texts: DataFrame, chamber_source: DataFrame | None = None) -> DataFrame:
     """The bound edition: texts (filename, folder, text) to speeches with date, decade, gender and chamber.
 
-    Files without a readable date are left out.  ``chamber_source`` gives the texts
+    Files without a readable date are left out; ``dated_texts`` names them.  ``chamber_source`` gives the texts
     (filename, folder, text) in which chamber markers are looked for, where they
     aren't those of ``texts`` itself.
     """
-    dated = texts.withColumn("date", T.filename_date("filename")).where("date is not null").withColumn("_key", F.concat_ws("\n", "folder", "filename"))
-    found = segment.segment(dated, "_key", "text", "bound")
-    ordered = found.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("speech_no", "speech"))).alias("_s"))
-    joined = dated.join(ordered, "_key").withColumn("_parts", F.transform("_s", lambda x: x["speech"]))
-    places = cursor_offsets(joined, "_key", "text", "_parts").select("_key", (F.col("part_no") + 1).alias("speech_no"), "offset")
-    marked = dated if chamber_source is None else chamber_source.withColumn("_key", F.concat_ws("\n", "folder", "filename"))
-    marks = metadata.chamber_markers(marked, "_key", "text")
-    placed = asof_backward(found.join(places, ["_key", "speech_no"]), marks, ["_key"], "offset", ["chamber"])
-    return placed.join(dated.select("_key", "filename", "folder", "date"), "_key").select(
+    keys = ["filename", "folder", "date"]
+    dated, marked = dated_texts(texts)[0], "text"
+    if chamber_source is not None:
+        raw = chamber_source.select(F.col("filename").alias("_f"), F.col("folder").alias("_d"), F.col("text").alias("_raw"))
+        dated, marked = dated.join(raw, (F.col("filename") == F.col("_f")) & F.col("folder").eqNullSafe(F.col("_d")), "left"), "_raw"
+    ship(texts.sparkSession)
+    found = segment.placed(dated.withColumn("_m", metadata.chamber_marks(marked)), keys, "text", "_m", "bound")
+    return found.select(
         "filename",
         "folder",
         F.date_format("date", "yyyy-MM-dd").alias("date"),
         T.decade("date").alias("decade"),
         "speaker",
         T.gender("speaker").alias("gender"),
-        F.coalesce("chamber", F.lit("")).alias("chamber"),
+        F.coalesce("mark", F.lit("")).alias("chamber"),
         "speech",
         "speech_no",
     )
 
 
+def dated_texts(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(texts with the date of their file name, quarantine: filename, folder, reason of the others)."""
+    marked = texts.withColumn("date", T.filename_date("filename"))
+    reason = F.when(F.col("filename").isNull(), "no file name").otherwise("no date in the file name")
+    return marked.where("date is not null"), marked.where("date is null").select("filename", "folder", reason.alias("reason"))
+
+
 def precleaned_texts(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(texts without boilerplate, removed lines with reasons) of texts (filename, folder, text)."""
     keys = ["folder", "filename"]

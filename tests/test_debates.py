@@ -76,3 +76,8 @@ def test_assignment(spark):
         ("f", 3, "THE TARIFF ACT", "second"),
         ("g", 2, "", ""),
     ]
+
+
+def test_line_kinds():
+    assert debates.capital_share("REPORT Of THE Thing") == 5 / 10 and debates.capital_share("") == 0.0
+    assert "".join(map(debates.line_kind, KINDS)) == "skbnxssnns"

@@ -3,10 +3,13 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from rostrum.operators import segment
+from rostrum.operators import metadata, segment
 from rostrum.operators.segment import DIALECTS, joined_labels, speeches, without_notes
 
+from .conftest import rows
+
 DAILY, BOUND = DIALECTS["daily"], DIALECTS["bound"]
 
 
@@ -128,3 +131,28 @@ def test_table_function(spark):
     segment.register(spark)
     got = spark.sql("select speaker, speech from scrape_speeches('  Mr. SMITH. I rise.', 'daily')").collect()
     assert [tuple(r) for r in got] == [("Mr. SMITH", "I rise.")]
+
+
+def test_placed_equals_cursor_and_asof(spark):
+    from rostrum.operators.asof import asof_backward, cursor_offsets
+
+    text = "\n HOUSE\n  Mr. SMITH. One.\n\n SENATE \n  Ms. JONES. One.\n  Mr. LEE. (Mr. LEE asked and was given permission to speak) Two.\n"
+    df = spark.createDataFrame([("a", text), ("b", ""), ("c", None), ("d", "  Mr. SMITH. One.")], "k string, text string")
+    marks = metadata.chamber_marks("text")
+    got = segment.placed(df.withColumn("m", marks), ["k"], "text", "m", "daily")
+    found = segment.segment(df, "k", "text", "daily")
+    parts = found.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("speech_no", "speech"))).alias("s"))
+    joined = df.join(parts, "k").withColumn("p", F.transform("s", lambda x: x["speech"]))
+    places = cursor_offsets(joined, "k", "text", "p").select("k", (F.col("part_no") + 1).alias("speech_no"), "offset")
+    want = asof_backward(found.join(places, ["k", "speech_no"]), metadata.chamber_markers(df, "k", "text"), ["k"], "offset", ["chamber"])
+    assert rows(got) == rows(want.select("k", "speech_no", "speaker", "speech", "chamber")) and got.count() == 4
+
+
+def test_notes_and_broken_labels():
+    assert segment.without_notes("a\n=====\nb\n ======x\nc\n=====\nd") == "a\n=====\n ======x\nc\n=====\n"
+    assert segment.without_notes("a\x0c=====\x0cb\r\n=====") == "a\x0c=====\x0c====="
+    bound = segment.DIALECTS["bound"]
+    assert segment.joined_labels("  Miss SMI-\nTH. I rise.\nnext", bound) == "  Miss SMITH.\n I rise.\nnext"
+    assert segment.joined_labels("  Miss SMI-\r\nTH. I rise.", bound) == "  Miss SMITH.\n I rise.\n"
+    for kept in ("  Miss SMITH. A half-\ntruth.", "some half-\nTH. of it", "  Miss SMI-", "  Miss SMI-\n\nTH. I"):
+        assert segment.joined_labels(kept, bound) == kept
