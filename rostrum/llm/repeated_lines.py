@@ -31,11 +31,11 @@ def line_key(line: Column) -> Column:
 def frequent_keys(df: DataFrame, text_col: str, source_col: str, share_percent: int = 6, least: int = 4) -> DataFrame:
     """(source, keys): per source the array of keys found in ``share_percent`` of its documents and in ``least`` of them."""
     source = df.select(F.col(source_col).alias("source"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
-    # a document's distinct keys; the NULL key counts the documents themselves
-    keys = F.array_distinct(F.concat(F.transform(F.split("text", "\n"), line_key), F.array(F.lit(None).cast("long"))))
-    counts = source.select("source", F.explode(keys).alias("key")).groupBy("source", "key").count()
-    total = counts.where("key is null").select(F.col("source").alias("of"), F.col("count").alias("documents"))
-    often = counts.where(f"key is not null and count >= {int(least)}").join(total, F.col("source").eqNullSafe(F.col("of")))
+    keys = F.array_distinct(F.transform(F.split("text", "\n"), line_key))
+    counts = source.select("source", F.explode(keys).alias("key")).where("key is not null").groupBy("source", "key").count()
+    # documents are counted by themselves, without looking into their texts, so lines are hashed and shuffled once
+    total = source.groupBy("source").agg(F.count("*").alias("documents")).withColumnRenamed("source", "of")
+    often = counts.where(f"count >= {int(least)}").join(total, F.col("source").eqNullSafe(F.col("of")))
     return (
         often.where(F.col("count") * 100 >= F.col("documents") * share_percent)
         .groupBy("source")
