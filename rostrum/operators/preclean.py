@@ -139,6 +139,11 @@ def removed(judged: DataFrame, keys: list[str]) -> DataFrame:
     return judged.where("reason is not null").select(*keys, "line_no", "reason", F.col("clean_line").alias("removed_line"))
 
 
+def removed_log(judged: DataFrame, log: str) -> DataFrame:
+    """Removed lines in the order of their logs' names, and in each by line."""
+    return judged.where("reason is not null").select(log, "line_no", "reason", F.col("clean_line").alias("removed_line")).orderBy(log, "line_no")
+
+
 def summary(judged: DataFrame) -> DataFrame:
     return judged.where("reason is not null").groupBy("reason").count()
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..runtime import ship
 from ..functions.text import sanitize_filename, universal_newlines, year_in_path
 
 
@@ -72,3 +76,60 @@ def not_done(jobs: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
 def merge_previous(current: DataFrame, previous: DataFrame, keys: list[str]) -> DataFrame:
     """What the current run has, and of the previous one what is still missing."""
     return current.unionByName(previous.join(current.select(*keys).distinct(), keys, "left_anti").select(current.columns))
+
+
+def relative_path(path: Column | str, root: str) -> Column:
+    """A file's path below a folder, however the folder was written."""
+    tail = root.rstrip("/").split(":", 1)[-1].lstrip("/") + "/"
+    decoded = F.url_decode(F.replace(F.col(path) if isinstance(path, str) else path, F.lit("+"), F.lit("%2B")))
+    return F.substring_index(decoded, tail, -1)
+
+
+def log_name(relative: Column | str) -> Column:
+    """The name of the log of a file's removed lines."""
+    c = F.col(relative) if isinstance(relative, str) else relative
+    return F.concat(F.regexp_replace(c, r"[/\\]+", "__"), F.lit(".removed.tsv"))
+
+
+def text_name(path: Column | str, year: Column | str) -> Column:
+    """year/stem.txt of a scan."""
+    parts = F.split(F.col(path) if isinstance(path, str) else path, "/")
+    stem = F.regexp_replace(F.url_decode(F.replace(F.element_at(parts, -1), F.lit("+"), F.lit("%2B"))), r"\.[^.]*$", "")
+    return F.concat((F.col(year) if isinstance(year, str) else year).cast("string"), F.lit("/"), stem, F.lit(".txt"))
+
+
+def write_files(df: DataFrame, name: str, content: str, root: str) -> int:
+    """Writes each row's text or bytes to its own file below ``root`` (a folder or URI that all executors reach); returns how many.
+
+    A file appears under its name only when it is whole, so a task that is run again does no harm.
+    """
+    ship(df.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import uuid
+
+        from pyarrow import fs as pafs
+
+        target, base = pafs.FileSystem.from_uri(root) if ":" in root else (pafs.LocalFileSystem(), root)
+        done = 0
+        for batch in batches:
+            for file, body in zip(batch["name"], batch["content"], strict=True):
+                place = f"{base.rstrip('/')}/{file}"
+                target.create_dir(place.rpartition("/")[0], recursive=True)
+                part = f"{place}.{uuid.uuid4().hex}.part"
+                with target.open_output_stream(part) as out:
+                    out.write(body.encode() if isinstance(body, str) else bytes(body))
+                target.move(part, place)
+                done += 1
+        yield pd.DataFrame({"n": [done]})
+
+    rows = df.select(F.col(name).alias("name"), F.col(content).alias("content")).where("name is not null and content is not null")
+    return rows.mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def write_csv_if_any(df: DataFrame, path: str) -> bool:
+    """``write_csv`` only where there is a row."""
+    if df.isEmpty():
+        return False
+    write_csv(df, path)
+    return True

@@ -86,8 +86,11 @@ class Client:
     def json(self, path: str, parameters: dict | None = None, body: dict | None = None) -> dict:
         return json.loads(self.call(path, parameters, body) or b"{}")
 
+    def content(self, path: str) -> bytes:
+        return self.call(path, honour_wait=False)
+
     def text(self, path: str) -> str:
-        return self.call(path, honour_wait=False).decode("utf-8", "replace")
+        return self.content(path).decode("utf-8", "replace")
 
 
 def search_query(day: date) -> str:
@@ -145,8 +148,8 @@ def days(end: date, years: int) -> list[date]:
     return [end - timedelta(n) for n in range((end - start).days + 1)]
 
 
-def _client(options: dict, number: int) -> Client:
-    """From the option ``client`` ("module:factory"), or the standard one with the keys named."""
+def _client(options: dict, number: int, tasks: int) -> Client:
+    """From the option ``client`` ("module:factory"), or the standard one with the keys named, for one of ``tasks`` tasks."""
     named = options.get("client")
     keys = [k for k in options.get("apikeys", options.get("apiKeys", "")).split(",") if k]
     if named:
@@ -154,14 +157,14 @@ def _client(options: dict, number: int) -> Client:
         return getattr(importlib.import_module(module), factory)(keys, number)
     limit = options.get("perhour", options.get("perHour"))
     # each task has an equal share of the limit
-    tasks = int(options.get("tasks", "1"))
+    tasks = int(options.get("tasks", tasks))
     return Client(keys, float(limit) / tasks if limit else None, float(options.get("delay", "0")), first_key=number)
 
 
 class _Part(InputPartition):
-    def __init__(self, number: int, mode: str, value: str):
+    def __init__(self, number: int, mode: str, value: str, tasks: int):
         super().__init__((number, mode, value))
-        self.number, self.mode, self.wanted = number, mode, value
+        self.number, self.mode, self.wanted, self.tasks = number, mode, value, tasks
 
 
 class RecordServiceReader(DataSourceReader):
@@ -179,10 +182,10 @@ class RecordServiceReader(DataSourceReader):
             wanted = [f"{a.isoformat()}/{b.isoformat()}" for a, b in date_chunks(int(self.options["startyear"]), today)]
         else:
             wanted = [p for p in self.options.get("packages", "").split(",") if p]
-        return [_Part(i, mode, w) for i, w in enumerate(wanted)]
+        return [_Part(i, mode, w, len(wanted)) for i, w in enumerate(wanted)]
 
     def read(self, partition):
-        client = _client(self.options, partition.number)
+        client = _client(self.options, partition.number, partition.tasks)
         if partition.mode == "search":
             for package in search_packages(client, search_query(date.fromisoformat(partition.wanted))):
                 yield partition.wanted, package, None
@@ -214,25 +217,63 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(RecordService)
 
 
-def fetch(keys: DataFrame, options: dict[str, str], parts: tuple[str, ...] = ("summary", "htm", "mods")) -> DataFrame:
-    """package_id, granule_id with ``summary``, ``htm`` and ``mods``; what can't be fetched is '', and the job goes on."""
+def discover(spark: SparkSession, mode: str, options: dict[str, str]) -> DataFrame:
+    """(day, package_id), each once, in order: the packages found by ``search`` or ``published``."""
+    register(spark)
+    found = spark.read.format("record_service").options(mode=mode, **options).load()
+    return found.select("day", "package_id").distinct().orderBy("day", "package_id")
+
+
+TASKS = 4  #: tasks that talk to the service at a time; they share its limit
+
+
+def granules_of(packages: DataFrame, options: dict[str, str], tasks: int = TASKS) -> DataFrame:
+    """package_id, granule_id: the granules of each package of a table; what can't be listed has none."""
+    ship(packages.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        client = _client({k.lower(): v for k, v in options.items()}, TaskContext.get().partitionId(), tasks)
+        for batch in batches:
+            rows = []
+            for package in batch["package_id"]:
+                try:
+                    rows += [(package, g) for g in package_granules(client, package)]
+                except Exception:
+                    continue
+            yield pd.DataFrame(rows, columns=["package_id", "granule_id"])
+
+    listed = packages.select("package_id").distinct().repartition(tasks)
+    return listed.mapInPandas(run, "package_id string, granule_id string").distinct()
+
+
+#: Parts that aren't text.
+_BINARY = {"pdf"}
+
+
+def fetch(keys: DataFrame, options: dict[str, str], parts: tuple[str, ...] = ("summary", "htm", "mods"), tasks: int = TASKS) -> DataFrame:
+    """package_id, granule_id with the ``parts`` named, of which ``pdf`` is binary; what can't be fetched is empty, and the job goes on."""
     ship(keys.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        client = _client({k.lower(): v for k, v in options.items()}, TaskContext.get().partitionId())
+        client = _client({k.lower(): v for k, v in options.items()}, TaskContext.get().partitionId(), tasks)
         for batch in batches:
             out = {p: [] for p in parts}
             for package, granule in zip(batch["package_id"], batch["granule_id"], strict=True):
                 for p in parts:
+                    read = client.content if p in _BINARY else client.text
                     try:
-                        out[p].append(client.text(f"/packages/{package}/granules/{granule}/{p}"))
+                        out[p].append(read(f"/packages/{package}/granules/{granule}/{p}"))
                     except Exception:
-                        out[p].append("")
+                        out[p].append(b"" if p in _BINARY else "")
             yield pd.DataFrame({"package_id": batch["package_id"], "granule_id": batch["granule_id"], **out})
 
-    return keys.select("package_id", "granule_id").mapInPandas(run, ", ".join(["package_id string", "granule_id string", *[f"{p} string" for p in parts]]))
+    kinds = [f"{p} {'binary' if p in _BINARY else 'string'}" for p in parts]
+    wanted = keys.select("package_id", "granule_id").repartition(tasks)
+    return wanted.mapInPandas(run, ", ".join(["package_id string", "granule_id string", *kinds]))
 
 
 def parsed_summary(df: DataFrame, summary: str = "summary") -> DataFrame:

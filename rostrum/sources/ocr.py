@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import AbstractContextManager, contextmanager
 from typing import Protocol
 
 import pandas as pd
@@ -12,42 +13,46 @@ from ..runtime import ship
 
 
 class Engine(Protocol):
-    def pages(self, content: bytes) -> int: ...
+    """Opens a document: a context that gives its number of pages and a function from page (from 1) to text."""
 
-    def text(self, content: bytes, page: int) -> str: ...
+    def open(self, content: bytes) -> AbstractContextManager[tuple[int, Callable[[int], str]]]: ...
 
 
 class CommandEngine:
-    """Counts, rasterises (300 dpi, grey) and reads pages with the usual command-line programs, one thread each."""
+    """Counts, rasterises (300 dpi, grey) and reads pages with the usual command-line programs, one thread each.
+
+    A document is written once to a scratch folder of its task, which is removed behind it.
+    """
 
     def __init__(self, language: str = "eng", dpi: int = 300):
         self.language, self.dpi = language, dpi
 
-    def _run(self, content: bytes, command: Callable[[str, str], list[str]]) -> tuple[str, str]:
+    @staticmethod
+    def _run(command: list[str]) -> str:
         import os
         import subprocess
-        import tempfile
 
-        folder = tempfile.mkdtemp()  # scratch of one page in one task
-        source = os.path.join(folder, "in.pdf")
-        with open(source, "wb") as file:
-            file.write(content)
-        done = subprocess.run(command(source, folder), capture_output=True, check=True, env=os.environ | {"OMP_THREAD_LIMIT": "1"})
-        return done.stdout.decode("utf-8", "replace"), folder
+        done = subprocess.run(command, capture_output=True, check=True, env=os.environ | {"OMP_THREAD_LIMIT": "1"})
+        return done.stdout.decode("utf-8", "replace")
 
-    def pages(self, content: bytes) -> int:
-        said, _ = self._run(content, lambda source, _: ["pdfinfo", source])
-        return next((int(x.split(":")[1]) for x in said.splitlines() if x.startswith("Pages:")), 0)
+    @contextmanager
+    def open(self, content: bytes) -> Iterator[tuple[int, Callable[[int], str]]]:
+        import os
+        import tempfile
 
-    def text(self, content: bytes, page: int) -> str:
-        import subprocess
+        with tempfile.TemporaryDirectory() as folder:
+            source = os.path.join(folder, "in.pdf")
+            with open(source, "wb") as file:
+                file.write(content)
+            said = self._run(["pdfinfo", source])
+            count = next((int(x.split(":")[1]) for x in said.splitlines() if x.startswith("Pages:")), 0)
 
-        def raster(source: str, folder: str) -> list[str]:
-            return ["pdftoppm", "-r", str(self.dpi), "-gray", "-tiff", "-singlefile", "-f", str(page), "-l", str(page), source, f"{folder}/page"]
+            def text(page: int) -> str:
+                image = f"{folder}/page"
+                self._run(["pdftoppm", "-r", str(self.dpi), "-gray", "-tiff", "-singlefile", "-f", str(page), "-l", str(page), source, image])
+                return self._run(["tesseract", f"{image}.tif", "stdout", "-l", self.language])
 
-        _, folder = self._run(content, raster)
-        done = subprocess.run(["tesseract", f"{folder}/page.tif", "stdout", "-l", self.language], capture_output=True, check=True)
-        return done.stdout.decode("utf-8", "replace")
+            yield count, text
 
 
 def read_pages(scans: DataFrame, engine: Engine) -> DataFrame:
@@ -60,14 +65,14 @@ def read_pages(scans: DataFrame, engine: Engine) -> DataFrame:
             for path, content, year in zip(batch["path"], batch["content"], batch["year"], strict=True):
                 texts = []
                 try:
-                    count = engine.pages(bytes(content))
+                    with engine.open(bytes(content)) as (count, text):
+                        for page in range(1, count + 1):
+                            try:
+                                texts.append(text(page))
+                            except Exception:
+                                continue
                 except Exception:
                     continue
-                for page in range(1, count + 1):
-                    try:
-                        texts.append(engine.text(bytes(content), page))
-                    except Exception:
-                        continue
                 if texts:
                     rows.append((path, year, "\n\n".join(texts)))
             yield pd.DataFrame(rows, columns=["path", "year", "text"])

@@ -1,6 +1,7 @@
 """The record service over a stub client, folders of files, numbering and resuming."""
 
 import os
+from contextlib import contextmanager
 from datetime import date
 
 import pytest
@@ -91,15 +92,17 @@ def test_resume(spark):
 
 
 class FakeEngine:
-    def pages(self, content):
+    @contextmanager
+    def open(self, content):
         if content == b"bad":
             raise ValueError
-        return 3
 
-    def text(self, content, page):
-        if page == 2:
-            raise ValueError
-        return f"page {page}"
+        def text(page):
+            if page == 2:
+                raise ValueError
+            return f"page {page}"
+
+        yield 3, text
 
 
 def test_ocr_skips_failed_pages_and_files(spark, tmp_path):
@@ -119,3 +122,47 @@ def test_new_files_are_segmented_once(spark, tmp_path):
         (source / name).write_text("Mr. SMITH. I rise.\r\n")
         incremental.follow(spark, str(source), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     assert rows(spark.read.parquet(str(tmp_path / "out")).select("speaker", "speech")) == [("Mr. SMITH", "I rise.")] * 2
+
+
+def test_acquisition_and_command_line(spark, service, tmp_path):
+    from rostrum import cli
+    from rostrum.plans import acquire
+
+    options = {"client": "stub_service:make", "end": "2001-02-03", "start": "2001-02-02", "years": "1"}
+    got = acquire.daily_granules(spark, options, tasks=2)
+    # summaries name 3 February; records can't be fetched
+    assert rows(got.select("day", "package_id", "granule_id", "htm_file", "mods_file")) == [
+        ("2001-02-03", "P1", "G1", "1-G1.html", None), ("2001-02-03", "P1", "G2", "3-G2.html", None),
+        ("2001-02-03", "P2", "G1", "2-G1.html", None), ("2001-02-03", "P2", "G2", "4-G2.html", None),
+    ]
+    out = tmp_path / "bound"
+    counts = cli.main(["crecb", str(out), "--api-keys", "a,b", "--start-year", "2020", "--client", "stub_service:make"])
+    assert counts["granules"] == counts["pdf"] == 2 and counts["mods"] == 0
+    assert sorted(p.name for p in (out / "2001" / "raw_pdf_2001").iterdir()) == ["1-T-B2020_G1.pdf", "2-T-B2020_G2.pdf"]
+
+
+def test_stages_from_the_command_line(spark, tmp_path):
+    from rostrum import cli
+
+    source = tmp_path / "in" / "1901"
+    source.mkdir(parents=True)
+    (source / "Record May 4, 1901.txt").write_text("SENATE\n\nTHE TARIFF BILL AND MORE\n\n  Mr. SMITH. I rise.\nTHE TARIFF BILL AND MORE\n  Mr. JONES. Yes.\n")
+    (source / "undated.txt").write_text("  Mr. SMITH. No.\n")
+    counts = cli.main(["preclean", str(tmp_path / "in"), str(tmp_path / "clean")])
+    assert counts["texts"] == 2 and counts["lines_removed"] == 1
+    assert "SENATE" not in (tmp_path / "clean" / "texts" / "1901" / "Record May 4, 1901.txt").read_text()
+    log = files.read_csv(spark, str(tmp_path / "clean" / "removed_lines"))
+    assert [r.log for r in log.collect()] == ["1901__Record May 4, 1901.txt.removed.tsv"]
+    counts = cli.main(["speeches", str(tmp_path / "clean" / "texts"), str(tmp_path / "speeches")])
+    assert counts == {"speeches": 2, "undated": 1}
+    assert rows(files.read_csv(spark, str(tmp_path / "speeches_quarantine"))) == [("undated.txt", "1901", "no date in the file name")]
+    assert cli.main(["debates", str(tmp_path / "speeches"), str(tmp_path / "debates")]) == {"speeches": 2}
+    titled = files.read_csv(spark, str(tmp_path / "debates"))
+    assert rows(titled.select("speaker", "title")) == [("Mr. JONES", "THE TARIFF BILL AND MORE"), ("Mr. SMITH", "")]
+
+
+def test_limit_is_shared_by_the_tasks():
+    reader = govinfo.RecordServiceReader({"mode": "granules", "packages": "a,b,c,d", "apiKeys": "k", "perHour": "3600"})
+    parts = reader.partitions()
+    assert [p.tasks for p in parts] == [4] * 4
+    assert govinfo._client(reader.options, 0, parts[0].tasks).gap == 4.0
