@@ -350,13 +350,47 @@ def _ordered_speeches(spark: SparkSession, folder: str) -> DataFrame:
     return s.withColumn("_order", F.row_number().over(W.partitionBy("filename").orderBy("folder", "speech_no", "speech_id")))
 
 
-@query()
+#: Python's white space, for trimming and as a class.
+_BLANKS = "' ' || " + " || ".join(f"chr({i})" for i in [*range(9, 14), *range(28, 32), 133, 160, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288])
+_BLANK = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+_TITLES = rf"""sp as (select *, row_number() over (partition by filename order by folder, speech_no, speech_id) as o from parsed_crecb_speeches where filename is not null),
+    fl as (select filename, string_agg(coalesce(speech, '') || chr(10) || chr(10), '' order by o) as text from sp group by filename),
+    l0 as (select filename, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as n from fl),
+    l1 as (select *, coalesce(sum(length(line) + 1) over (partition by filename order by n rows between unbounded preceding and 1 preceding), 0) as start, trim(line, {_BLANKS}) as body from l0),
+    l2 as (select *, length(regexp_replace(body, '[^A-Za-z]', '', 'g')) as letters, list_filter(regexp_split_to_array(body, '{_BLANK}+'), lambda w: w <> '') as ws, regexp_replace(lower(line), '[^a-z]', '', 'g') as plain from l1),
+    l3 as (select *, regexp_replace(array_to_string(list_filter(ws, lambda w: lower(regexp_replace(w, '[^A-Za-z]', '', 'g')) <> 'report'), ' '), '[^A-Za-z]', '', 'g') as said,
+        len(list_filter(ws, lambda w: regexp_matches(w, '[A-Za-z]'))) as lettered,
+        len(list_filter(list_transform(ws, lambda w: trim(w, ',.;:!?—–-()[]{{}}<>"`' || chr(39))), lambda w: length(regexp_replace(w, '[^A-Za-z]', '', 'g')) >= 2 and not regexp_matches(w, '[a-z]'))) as caps,
+        list_distinct(regexp_extract_all(lower(line), '[a-z]+')) as low from l2),
+    l4 as (select *, letters >= 8 and length(said) > 0 and length(regexp_replace(said, '[^A-Z]', '', 'g')) >= 0.6 * length(said) as looks,
+        contains(plain, 'congressionalrecord') or plain in ('usgovernment', 'usgoverment')
+        or (len(low) > 0 and len(list_filter(low, lambda w: w not in ('gpo', 'authenticated', 'authentication', 'authentic', 'information'))) = 0) as boiler from l3),
+    l5 as (select *, first_value(case when body <> '' then looks end ignore nulls) over (partition by filename order by n rows between 1 following and unbounded following) as ahead from l4),
+    l6 as (select *, case when body = '' then case when coalesce(ahead, false) then 'K' else 'N' end when boiler then 'N' when lettered >= 2 and looks then 'S' when lettered = 1 and caps > 0 then 'K' else 'N' end as kind from l5),
+    l7 as (select *, coalesce(last_value(case when kind <> 'K' then kind end ignore nulls) over (partition by filename order by n rows between unbounded preceding and current row) = 'S', false) as inside from l6),
+    l8 as (select *, inside and not coalesce(lag(inside) over (partition by filename order by n), false) as begins from l7),
+    l9 as (select *, sum(case when begins then 1 else 0 end) over (partition by filename order by n rows between unbounded preceding and current row) as block from l8),
+    bl as (select filename, block, string_agg(line, chr(10) order by n) || chr(10) as title, min(start) as first, max(start + length(line) + 1) as last from l9 where inside group by filename, block),
+    sec as (select filename, trim(title, {_BLANKS}) as title, last as start, coalesce(lead(first) over (partition by filename order by first), length(text)) as "end"
+        from bl join fl using (filename) where not regexp_matches(title, '^{_BLANK}*(?:Mr|Ms|Mrs)\.'))"""
+
+
+@query(f"""with {_TITLES} select filename, title, cast(start as integer) as start, cast("end" as integer) as "end" from sec""")
 def title_sections(spark: SparkSession, folder: str) -> DataFrame:
     files, _ = debates.reconstruct(_ordered_speeches(spark, folder), "filename", "_order", "speech")
     return debates.sections(debates.titles(files, "filename"), files, "filename")
 
 
-@query()
+@query(
+    rf"""with {_TITLES},
+    st as (select *, coalesce(sum(length(coalesce(speech, '')) + 2) over (partition by filename order by o rows between unbounded preceding and 1 preceding), 0) as at from sp),
+    ti as (select st.speech_id, st.filename, st.speech, case when st.at < sec."end" then coalesce(sec.title, '') else '' end as title
+        from st asof left join sec on st.filename = sec.filename and st.at >= sec.start)
+    select speech_id, filename, title, case when title = '' or speech is null then speech else array_to_string(list_filter(
+        string_split(regexp_replace(regexp_replace(speech, '\r\n|[\r\x0b\x0c\x1c-\x1e\x{{85}}\x{{2028}}\x{{2029}}]', chr(10), 'g'), '\n$', ''), chr(10)),
+        lambda x: not starts_with(upper(trim(regexp_replace(x, '{_BLANK}+', ' ', 'g'))), upper(trim(regexp_replace(title, '{_BLANK}+', ' ', 'g'))))), chr(10)) end as speech from ti"""
+)
 def title_assignment(spark: SparkSession, folder: str) -> DataFrame:
     return debates.assign_titles(_ordered_speeches(spark, folder), "filename", "_order", "speech").select("speech_id", "filename", "title", "speech")
 
@@ -487,6 +521,81 @@ def same_day_filter(spark: SparkSession, folder: str) -> DataFrame:
     return govinfo.same_day(joined, "issue_day").select("xml_id", "granule_id", "package_id")
 
 
+@query(
+    """select granule_id, (max_by({'t': title}, {'a': loaded_at, 'b': title})).t as title from
+    (select granule_id, title, loaded_at from granule_summary) group by granule_id having count(*) > 0"""
+)
+def granule_titles(spark: SparkSession, folder: str) -> DataFrame:
+    """The title of the summary loaded last, of each granule."""
+    return pipelines.titles_of_granules(table(spark, folder, "granule_summary"))
+
+
+@query(
+    """with m as (select parsed_name, arg_max({'b': bioguideid, 'f': full_name, 'p': party, 's': state, 'c': speaker_chamber},
+            {'b': bioguideid, 'f': full_name, 'p': party, 'c': speaker_chamber}) as r
+        from (select parsed_name, coalesce(bioguideid, '') as bioguideid, coalesce(full_name, '') as full_name, coalesce(party, '') as party, coalesce(state, '') as state, coalesce(speaker_chamber, '') as speaker_chamber
+            from mods_members where parsed_name is not null) group by parsed_name),
+    t as (select granule_id, (max_by({'t': title}, {'a': loaded_at, 'b': title})).t as title from granule_summary group by granule_id)
+    select coalesce(p.speech_date, '') as date, coalesce(x.granule_id, '') as granule_id, coalesce(t.title, '') as title, coalesce(p.speaker, '') as speaker, coalesce(p.speech, '') as text,
+        coalesce(r.b, '') as "bioGuideId", coalesce(r.f, '') as full_name, coalesce(r.p, '') as party, coalesce(r.s, '') as state,
+        case when p.speaker like 'Ms.%' or p.speaker like 'Mrs.%' then 'F' when p.speaker like 'Mr.%' then 'M' else '' end as gender,
+        case when x.granule_id like '%PgH%' then 'H' when x.granule_id like '%PgS%' then 'S' else '' end as chamber, coalesce(r.c, '') as speaker_chamber
+    from parsed_crecb_speeches p left join raw_xml x on x.xml_id = p.speech_id left join m on m.parsed_name = p.speaker left join t on t.granule_id = x.granule_id"""
+)
+def enriched_speeches(spark: SparkSession, folder: str) -> DataFrame:
+    """The twelve columns of the daily edition for the bound speeches, each with the granule whose record bears its number."""
+    s = table(spark, folder, "parsed_crecb_speeches").select("speech_id", F.col("speech_date").alias("date"), "speaker", F.col("speech").alias("text"))
+    x = table(spark, folder, "raw_xml").select(F.col("xml_id").alias("speech_id"), "granule_id")
+    columns = ["bioguideid", "full_name", "party", "state", "speaker_chamber"]
+    members = table(spark, folder, "mods_members").where("parsed_name is not null").select("parsed_name", *[F.coalesce(c, F.lit("")).alias(c) for c in columns])
+    members = asof.last_per_key(members, "parsed_name", ["bioguideid", "full_name", "party", "speaker_chamber"])
+    return pipelines.enrich(s.join(x, "speech_id", "left"), members, granule_titles(spark, folder))
+
+
+@query(
+    r"""select distinct filename, folder, case when filename is null then 'no file name' else 'no date in the file name' end as reason from parsed_crecb_speeches
+    where filename is null or try_strptime(regexp_extract(filename, '(?i)([A-Za-z]+ [0-9]{1,2}, [0-9]{4})', 1), '%B %d, %Y') is null"""
+)
+def undated_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The quarantine of the bound pipeline."""
+    return pipelines.dated_texts(table(spark, folder, "parsed_crecb_speeches").select("filename", "folder").distinct())[1]
+
+
+@query(
+    r"""with p as (select speech_id, case when speech = '' then [] else string_split(regexp_replace(regexp_replace(speech, '\r\n|[\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]', chr(10), 'g'), '\n$', ''), chr(10)) end as parts
+        from parsed_crecb_speeches where speech is not null)
+    select speech_id, cast(i - 1 as integer) as line_no, parts[i] as line from p, unnest(range(1, len(parts) + 1)) as u(i)"""
+)
+def text_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of a text as reading it in Python gives them."""
+    return _speech_texts(spark, folder).select("speech_id", F.posexplode(T.splitlines("speech")).alias("line_no", "line"))
+
+
+@query(
+    r"""select distinct folder || '/' || filename as rel_path, regexp_replace(folder || '/' || filename, '[/\\]+', '__', 'g') || '.removed.tsv' as log_name,
+        folder || '/' || regexp_replace(filename, '\.[^.]*$', '') || '.txt' as text_name
+    from parsed_crecb_speeches where filename is not null and folder is not null"""
+)
+def file_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Names under which clean texts, logs of removed lines and texts of scans are written."""
+    f = table(spark, folder, "parsed_crecb_speeches").where("filename is not null and folder is not null").select("folder", "filename").distinct()
+    path = F.concat_ws("/", F.lit("file:/data/in"), "folder", F.replace(F.replace("filename", F.lit("%"), F.lit("%25")), F.lit("+"), F.lit("%2B")))
+    rel = files.relative_path(path, "/data/in")
+    return f.select(rel.alias("rel_path"), files.log_name(rel).alias("log_name"), files.text_name(path, F.col("folder")).alias("text_name"))
+
+
+@query(
+    """with c as (select distinct granule_id, 'record' as found from raw_xml where mods_xml <> '' and granule_id is not null),
+    p as (select distinct granule_id, 'summary' as found from granule_summary where granule_id is not null)
+    select * from c union all select * from p where granule_id not in (select granule_id from c)"""
+)
+def merged_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """What a run has, and of an earlier one what it lacks."""
+    now = table(spark, folder, "raw_xml").where("mods_xml <> '' and granule_id is not null").select("granule_id", F.lit("record").alias("found")).distinct()
+    before = table(spark, folder, "granule_summary").where("granule_id is not null").select("granule_id", F.lit("summary").alias("found")).distinct()
+    return files.merge_previous(now, before, ["granule_id"])
+
+
 def _pages(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as the day pages they were printed from."""
     d = table(spark, folder, "documents").where("text <> '' and issue_date is not null")
