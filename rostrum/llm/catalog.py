@@ -68,7 +68,25 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("speech_id"), "line_no")
 
 
-@query()
+@query(
+    r"""
+    with lines as (
+        select speech_id, folder, unnest(string_split(speech, chr(10))) as line,
+               generate_subscripts(string_split(speech, chr(10)), 1) as line_no
+        from parsed_crecb_speeches where speech is not null),
+    keyed as (
+        select *, trim(regexp_replace(lower(line), '[^a-z]+', ' ', 'g')) as k from lines),
+    total as (select folder, count(*) as n from parsed_crecb_speeches where speech is not null group by folder),
+    often as (
+        select o.folder, k from (select folder, k, count(distinct speech_id) as d from keyed where k <> '' group by folder, k having count(distinct speech_id) >= 4) o
+        join total on total.folder is not distinct from o.folder where o.d * 100 >= 6 * total.n),
+    kept as (
+        select speech_id, string_agg(line, chr(10) order by line_no) as clean_speech from keyed
+        where not exists (select 1 from often where often.folder is not distinct from keyed.folder and often.k = keyed.k) group by speech_id)
+    select p.speech_id, p.folder, case when p.speech is not null then coalesce(clean_speech, '') end as clean_speech
+    from parsed_crecb_speeches p left join kept using (speech_id)
+    """
+)
 def p3_clean(spark: SparkSession, folder: str) -> DataFrame:
     narrow = _speeches(spark, folder).select("speech_id", "folder", "speech")
     clean = repeated_lines.without_repeated_lines(narrow, "speech", "folder", out_col="clean_speech")
