@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import asof, debates, metadata, nested, preclean, segment
 from ..operators import lines as L
-from ..runtime import table
+from ..runtime import spread, table
 from ..sources import files, govinfo
 from . import pipelines
 
@@ -34,7 +34,7 @@ def query(sql: str | None = None):
 
 
 def _nodes(spark: SparkSession, folder: str) -> DataFrame:
-    return nested.interval_nodes(table(spark, folder, "raw_xml"), "xml_id", "mods_xml").withColumnRenamed("id", "xml_id")
+    return nested.interval_nodes(spread(table(spark, folder, "raw_xml").select("xml_id", "mods_xml")), "xml_id", "mods_xml").withColumnRenamed("id", "xml_id")
 
 
 def _kind(spark: SparkSession, folder: str, kind: str, attributes: list[str], text: str | None = None) -> DataFrame:
@@ -73,11 +73,11 @@ _DOCS = "select doc_id, text from documents where text is not null"
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", "text").where("text is not null")
+    return spread(table(spark, folder, "documents").select("doc_id", "text").where("text is not null"))
 
 
 def _speech_texts(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "parsed_crecb_speeches").select("speech_id", "speech").where("speech is not null")
+    return spread(table(spark, folder, "parsed_crecb_speeches").select("speech_id", "speech").where("speech is not null"))
 
 
 _LINES = """lines as (

@@ -36,6 +36,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a scan over all cores where it has fewer partitions than there are cores (one small file); a larger scan stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable on every executor: sent once per application as a zip."""
     context = spark.sparkContext

@@ -63,3 +63,12 @@ def test_cursor_fold_equals_find(spark):
 def test_last_per_key(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, None)], "k string, n int, v string")
     assert rows(asof.last_per_key(df, "k", ["n"]).select("k", "v")) == [("a", "y"), ("b", None)]
+
+
+def test_spread_small_scans_only(spark):
+    from rostrum.runtime import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    small, large = spark.range(10, numPartitions=1), spark.range(10, numPartitions=cores + 1)
+    assert spread(small).rdd.getNumPartitions() == cores and spread(large) is large
+    assert rows(spread(small)) == rows(small)
