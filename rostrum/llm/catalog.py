@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import table
+from ..runtime import spread, table
 from . import mixing, name_variants, neardup, packing, repeated_lines, residue, scan_repair, speaker_turns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,7 +25,11 @@ def query(sql: str | None = None):
 
 
 def _speeches(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "parsed_crecb_speeches")
+    return spread(table(spark, folder, "parsed_crecb_speeches").select("speech_id", "folder", "speaker", "speech"))
+
+
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "documents").select("doc_id", "text", "source"))
 
 
 #: Problem 1 as TESTDATA.md states it: runs of three words, 60 %, at least 40 words.
@@ -123,13 +127,13 @@ def p6_turns(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
-    return residue.residue(table(spark, folder, "documents"), "doc_id", "text").select(F.col("id").alias("doc_id"))
+    return residue.residue(_documents(spark, folder), "doc_id", "text").select(F.col("id").alias("doc_id"))
 
 
 def _containers(spark: SparkSession, folder: str) -> DataFrame:
     # one row per container class
     classes = [tuple(r) for r in table(spark, folder, "container_sizes").select("container_class", "capacity_tokens").collect()]
-    return packing.pack(table(spark, folder, "documents"), "doc_id", "text", classes)
+    return packing.pack(_documents(spark, folder), "doc_id", "text", classes)
 
 
 @query()
@@ -146,7 +150,7 @@ def _mixture(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     # one row per target source
     targets = [tuple(r) for r in table(spark, folder, "mix_targets").select("source", "target_share", "max_repeats").collect()]
     # target_share is of all tokens of the table, so a source that can't fill its share stops at its cap
-    return mixing.mixture(table(spark, folder, "documents"), "doc_id", "text", "source", targets, size=mixing.ALL)
+    return mixing.mixture(_documents(spark, folder), "doc_id", "text", "source", targets, size=mixing.ALL)
 
 
 @query()
