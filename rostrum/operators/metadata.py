@@ -8,6 +8,7 @@ from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
@@ -120,17 +121,13 @@ def day_texts(pages: DataFrame, day: str, filename: str, html: str) -> DataFrame
     order = F.expr(f"try_cast(split_part({filename}, '-', 1) as int)")
     blocks = pages.select(day, filename, F.coalesce(order, F.lit(2**31 - 1)).alias("_order"), F.posexplode(pre_blocks_of(html)).alias("_no", "_block"))
     piece = F.concat(F.lit("=== FILE: "), F.col(filename), F.lit(" ===\n"), F.col("_block"), F.lit("\n\n"))
-    rows = blocks.groupBy(day).agg(F.array_sort(F.collect_list(F.struct("_order", filename, "_no", piece.alias("piece")))).alias("_p"))
-    pieces = F.transform("_p", lambda x: x["piece"])
-    starts = F.aggregate(
-        "_p",
-        F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int, filename:string>>)").alias("out")),
-        lambda s, x: F.struct(
-            (s["at"] + F.length(x["piece"])).alias("at"), F.array_append(s["out"], F.struct(s["at"].alias("start"), x[filename].alias("filename"))).alias("out")
-        ),
-        lambda s: s["out"],
-    )
-    return rows.select(day, F.array_join(pieces, "").alias("text"), starts.alias("files"))
+    blocks = blocks.withColumn("_piece", piece)
+    # one shuffle by day serves the running lengths and the texts
+    before = W.partitionBy(day).orderBy("_order", filename, "_no").rowsBetween(W.unboundedPreceding, -1)
+    placed = blocks.withColumn("_start", F.coalesce(F.sum(F.length("_piece")).over(before), F.lit(0)).cast("int"))
+    rows = placed.groupBy(day).agg(F.array_sort(F.collect_list(F.struct("_order", filename, "_no", "_start", "_piece"))).alias("_p"))
+    starts = F.transform("_p", lambda x: F.struct(x["_start"].alias("start"), x[filename].alias("filename")))
+    return rows.select(day, F.array_join(F.transform("_p", lambda x: x["_piece"]), "").alias("text"), starts.alias("files"))
 
 
 _CHAMBER = re.compile(r"^\s*(HOUSE|SENATE)\s*$", re.M)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import EXTRANEOUS, SPACE
 from ..runtime import ship
+from .asof import cursor
 
 # --- label grammars, put together from their parts; fixed values -------------
 
@@ -184,11 +185,9 @@ def placed(df: DataFrame, keys: list[str], text: str, marks: str, dialect: str =
             at, no, who, said, mark = [], [], [], [], []
             for i, (text, found) in enumerate(zip(batch.column(len(keys)).to_pylist(), batch.column(len(keys) + 1).to_pylist(), strict=True)):
                 starts = [m["start"] for m in found or ()]
-                cursor = 0
-                for n, (label, speech, _) in enumerate(speeches(text, chosen), 1):
-                    place = text.find(speech, cursor)
-                    place = cursor if place < 0 else place
-                    cursor = place + len(speech)
+                spoken = speeches(text, chosen)
+                places = cursor(text, (speech for _, speech, _ in spoken))
+                for n, ((label, speech, _), place) in enumerate(zip(spoken, places, strict=True), 1):
                     before = bisect_right(starts, place) - 1
                     at.append(i), no.append(n), who.append(label), said.append(speech), mark.append(found[before]["value"] if before >= 0 else None)
             rows = pa.array(at, pa.int64())
