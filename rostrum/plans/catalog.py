@@ -69,6 +69,8 @@ def p2_bills(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- the reference's operators over whole tables ------------------------------
 
+#: Python's white space in SQL.
+_TRIMMED = "' ' || " + " || ".join(f"chr({i})" for i in [*range(9, 14), *range(28, 32), 133, 160, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288])
 _DOCS = "select doc_id, text from documents where text is not null"
 
 
@@ -153,6 +155,33 @@ def segment_clean(spark: SparkSession, folder: str) -> DataFrame:
     return _rows_of(_documents(spark, folder), "text", segment.clean, "cleaned", "string")
 
 
+@query(
+    f"""with l0 as (select doc_id, unnest(string_split(replace(text, chr(12), chr(10)), chr(10))) as line, generate_subscripts(string_split(replace(text, chr(12), chr(10)), chr(10)), 1) - 1 as n from documents where text is not null),
+    l1 as (select doc_id, n, case n % 11 when 5 then '' when 6 then '      ' || line when 8 then repeat(' ', 16) || 'May ' || n || ', 1999.' else line end as line from l0),
+    l2 as (select *, coalesce(sum(length(line) + 1) over (partition by doc_id order by n rows between unbounded preceding and 1 preceding), 0) as place,
+        lag(line) over (partition by doc_id order by n) as before, length(regexp_extract(line, '^[ \\t]*')) as lead_n, length(regexp_replace(regexp_extract(line, '^[ \\t]*'), '[^\\t]', '', 'g')) as tabs,
+        regexp_extract_all(line, '[\\p{{L}}\\p{{N}}_][\\p{{L}}\\p{{N}}_''-]*') as words, trim(line, ' ' || chr(9) || chr(11) || chr(13) || chr(160)) as body from l1),
+    l3 as (select *, trim(before, ' ' || chr(9) || chr(11) || chr(13) || chr(160)) = '' as below from l2)
+    select doc_id, cast(place as integer) as place, 3 as kind from l3 where below and body <> '' and lead_n + tabs > 2 and len(words) > 0
+        and len(list_filter(words, lambda w: regexp_matches(w, '^\\p{{Lu}}'))) * 2 >= len(words)
+    union all select doc_id, cast(place as integer), 4 from l3 where body <> '' and lead_n + tabs * 14 >= 15 and regexp_matches(body, '[0-9]{{1,2}}, [0-9]{{4}}\\.?$')"""
+)
+def segment_line_ends(spark: SparkSession, folder: str) -> DataFrame:
+    """The indented titles (3) and right-justified dates (4) that the segmenter sees, some put in by their number (form feeds taken for line feeds)."""
+
+    def varied(x, i):
+        date = F.concat(F.repeat(F.lit(" "), F.lit(16)), F.lit("May "), i.cast("string"), F.lit(", 1999."))
+        return F.when(i % 11 == 5, F.lit("")).when(i % 11 == 6, F.concat(F.lit("      "), x)).when(i % 11 == 8, date).otherwise(x)
+
+    text = F.array_join(F.transform(F.split(F.translate("text", "\f", "\n"), "\n"), varied), "\n")
+    found = _rows_of(_documents(spark, folder).withColumn("text", text), "text", _line_ends, "ends", "array<struct<place:int, kind:int>>")
+    return found.select("doc_id", F.explode("ends").alias("e")).select("doc_id", "e.place", "e.kind")
+
+
+def _line_ends(text: str) -> list[dict]:
+    return [{"place": place, "kind": kind} for place, kind in segment.line_ends(text)]
+
+
 def _label_oracle(key: str, text: str, rows: str, label: str) -> str:
     label = label.replace("'", "''").replace("\\s", "[\\s\\x0b]").replace("\u2019", "\u2019")
     return f"""with t as (select {key}, regexp_extract_all(replace({text}, chr(160), ' '), '(?m){label}') as labels from {rows} where {text} is not null and not contains({text}, '====='))
@@ -268,6 +297,24 @@ def preclean_removed(spark: SparkSession, folder: str) -> DataFrame:
     return preclean.removed(_judged(spark, folder), ["speech_id"])
 
 
+_DATE_LIST = ", ".join(f"'{w}'" for w in ["CONGRESSIONAL", "RECORD", *preclean.DATE_WORDS])
+
+
+@query(
+    rf"""with t as (select speech_id, replace(translate(speech, chr(160) || chr(8201) || chr(8239) || chr(8199) || '’‘“”' || chr(65279) || chr(8288) || chr(8206) || chr(8207) || chr(8234) || chr(8235) || chr(8236) || chr(8237) || chr(8238), '    ' || chr(39) || chr(39) || chr(34) || chr(34)), '…', '...') as s
+        from parsed_crecb_speeches where speech is not null),
+    p as (select speech_id, case when s = '' then [] else string_split(regexp_replace(regexp_replace(s, '\r\n|[\r\x0b\x0c\x1c-\x1e\x{{85}}\x{{2028}}\x{{2029}}]', chr(10), 'g'), '\n$', ''), chr(10)) end as parts from t),
+    l as (select speech_id, i - 1 as n, translate(parts[i], '—–' || chr(8203) || chr(8204) || chr(8205) || chr(173) || chr(8209), '--') as line from p, unnest(range(1, len(parts) + 1)) as u(i)),
+    b as (select *, trim(line, {_TRIMMED}) as bare from l),
+    r as (select *, case when regexp_matches(bare, '^[0-9]{{4}}$') and try_cast(bare as integer) between 1873 and 1994 then 'hdr_year_1873_1994'
+        when contains(upper(bare), 'CONGRESSIONAL RECORD') and len(list_filter(regexp_extract_all(upper(line), '[A-Z]+'), lambda w: w not in ({_DATE_LIST}))) = 0 then 'hdr_contains_CONGRESSIONAL_RECORD' end as reason from b)
+    select speech_id, cast(n as integer) as line_no, reason, line as removed_line from r where reason is not null"""
+)
+def preclean_heads(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines removed as years or as headings with the record's name."""
+    return preclean_removed(spark, folder).where("reason in ('hdr_year_1873_1994', 'hdr_contains_CONGRESSIONAL_RECORD')")
+
+
 @query()
 def preclean_summary(spark: SparkSession, folder: str) -> DataFrame:
     return preclean.summary(_judged(spark, folder))
@@ -351,7 +398,7 @@ def _ordered_speeches(spark: SparkSession, folder: str) -> DataFrame:
 
 
 #: Python's white space, for trimming and as a class.
-_BLANKS = "' ' || " + " || ".join(f"chr({i})" for i in [*range(9, 14), *range(28, 32), 133, 160, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288])
+_BLANKS = _TRIMMED
 _BLANK = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 _TITLES = rf"""sp as (select *, row_number() over (partition by filename order by folder, speech_no, speech_id) as o from parsed_crecb_speeches where filename is not null),
