@@ -111,11 +111,6 @@ def note_block_strip(spark: SparkSession, folder: str) -> DataFrame:
     return L.strip_notes(marked, ["doc_id"])
 
 
-@query()
-def speaker_segments_daily(spark: SparkSession, folder: str) -> DataFrame:
-    return segment.segment(_documents(spark, folder), "doc_id", "text", "daily")
-
-
 def _rows_of(df: DataFrame, text: str, function, column: str, kind: str) -> DataFrame:
     """``df`` with what a function of the segmenter makes of each text."""
     made = F.pandas_udf(kind)(_texts_mapped(function))
@@ -202,17 +197,55 @@ def segment_labels_bound(spark: SparkSession, folder: str) -> DataFrame:
     return segment.segment(s, "speech_id", "speech", "bound").select("speech_id", "speech_no", "speaker")
 
 
-@query()
-def speaker_segments_bound(spark: SparkSession, folder: str) -> DataFrame:
-    return segment.segment(_speech_texts(spark, folder), "speech_id", "speech", "bound")
+def _speech_oracle(key: str, rows: str, label: str) -> str:
+    """Labels by one pattern over the text, marker lines (of LF) and line ends (of LF or form feed), each speech up to the next of them."""
+    label = label.replace("'", "''").replace("\\s", "[\\s\\x0b]")
+    cleaned = "substring(t, cast(stop + 1 as bigint), cast(greatest(stop, coalesce(following, length(t))) - stop as bigint))"
+    cleaned = f"trim({cleaned}, {_TRIMMED})"
+    for pattern in T.EXTRANEOUS:
+        pattern = pattern.replace(T.SPACE, r"[\s\x0b\x1c-\x1f\x{85}\x{a0}]")
+        cleaned = f"regexp_replace({cleaned}, '{pattern}', '', 'g')"
+    return rf"""with d as (select {key}, replace(text, chr(160), ' ') as t from {rows} where text is not null and not contains(text, '=====')),
+    k as (select {key}, t, regexp_extract_all(t, '(?m){label}') as labels, regexp_split_to_array(t, '(?m){label}') as parts from d),
+    lab as (select {key}, t, i, labels[i] as label, list_sum(list_transform(parts[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(labels[1:i - 1], lambda x: length(x))), 0) as start
+        from k, unnest(range(1, len(labels) + 1)) as u(i)),
+    l0 as (select {key}, unnest(string_split(replace(t, chr(12), chr(10)), chr(10))) as line, generate_subscripts(string_split(replace(t, chr(12), chr(10)), chr(10)), 1) as n from d),
+    l1 as (select *, coalesce(sum(length(line) + 1) over (partition by {key} order by n rows between unbounded preceding and 1 preceding), 0) as place, trim(line, {_TRIMMED}) as body,
+        length(regexp_extract(line, '^[ \\t]*')) as lead_n, length(regexp_replace(regexp_extract(line, '^[ \\t]*'), '[^\\t]', '', 'g')) as tabs, regexp_extract_all(line, '[\\p{{L}}\\p{{N}}_][\\p{{L}}\\p{{N}}_''-]*') as words from l0),
+    l2 as (select *, lag(body) over (partition by {key} order by n) = '' as below from l1),
+    m0 as (select {key}, unnest(string_split(t, chr(10))) as line, generate_subscripts(string_split(t, chr(10)), 1) as n from d),
+    m1 as (select *, coalesce(sum(length(line) + 1) over (partition by {key} order by n rows between unbounded preceding and 1 preceding), 0) as place from m0),
+    ev as (select {key}, place from m1 where regexp_matches(line, '^[ _-]*_{{3,}}[ _-]*$') or regexp_matches(line, '^[ _-]*-{{3,}}[ _-]*$') or regexp_matches(line, '^\\[Congressional Record Volume.*\\]$')
+        union all select {key}, place from l2 where below and body <> '' and lead_n + tabs > 2 and len(words) > 0 and len(list_filter(words, lambda w: regexp_matches(w, '^\\p{{Lu}}'))) * 2 >= len(words)
+        union all select {key}, place from l2 where body <> '' and lead_n + tabs * 14 >= 15 and regexp_matches(body, '[0-9]{{1,2}}, [0-9]{{4}}\\.?$')),
+    nx as (select {key}, i, min(place) as marked from lab join ev using ({key}) where place >= start group by {key}, i),
+    sp as (select lab.*, start + length(label) as stop, least(marked, lead(start) over (partition by lab.{key} order by lab.i)) as following from lab left join nx on nx.{key} = lab.{key} and nx.i = lab.i)
+    select {key}, cast(i as integer) as speech_no, rtrim(trim(label, {_TRIMMED}), '.') as speaker, trim({cleaned}, {_TRIMMED}) as speech, cast(start as integer) as place from sp"""
+
+
+@query(_speech_oracle("doc_id", "documents", segment.DIALECTS["daily"].label.pattern))
+def speaker_segments_daily(spark: SparkSession, folder: str) -> DataFrame:
+    return segment.segment(_documents(spark, folder), "doc_id", "text", "daily")
 
 
-@query()
+@query(ORACLES["speaker_segments_daily"])
 def speaker_segments_sql(spark: SparkSession, folder: str) -> DataFrame:
     """The same by the table function, from SQL."""
     segment.register(spark)
     _documents(spark, folder).createOrReplaceTempView("_rostrum_documents")
-    return spark.sql("select d.doc_id, s.speech_no, s.speaker, s.speech from _rostrum_documents d, lateral scrape_speeches(d.text, 'daily') s")
+    return spark.sql("select d.doc_id, s.speech_no, s.speaker, s.speech, s.place from _rostrum_documents d, lateral scrape_speeches(d.text, 'daily') s")
+
+
+@query(_speech_oracle("speech_id", "(select speech_id, translate(speech, '-' || chr(12), '~' || chr(10)) as text from parsed_crecb_speeches)", segment.DIALECTS["bound"].label.pattern))
+def segment_speeches_bound(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole speeches in the bound dialect, hyphens (so that no label is broken by one) and form feeds replaced."""
+    s = _speech_texts(spark, folder).select("speech_id", F.translate("speech", "-\f", "~\n").alias("text")).where(~F.col("text").contains("====="))
+    return segment.segment(s, "speech_id", "text", "bound")
+
+
+@query()
+def speaker_segments_bound(spark: SparkSession, folder: str) -> DataFrame:
+    return segment.segment(_speech_texts(spark, folder), "speech_id", "speech", "bound")
 
 
 _RE_LABEL = (
