@@ -211,13 +211,13 @@ def _speech_oracle(key: str, rows: str, label: str) -> str:
         from k, unnest(range(1, len(labels) + 1)) as u(i)),
     l0 as (select {key}, unnest(string_split(replace(t, chr(12), chr(10)), chr(10))) as line, generate_subscripts(string_split(replace(t, chr(12), chr(10)), chr(10)), 1) as n from d),
     l1 as (select *, coalesce(sum(length(line) + 1) over (partition by {key} order by n rows between unbounded preceding and 1 preceding), 0) as place, trim(line, {_TRIMMED}) as body,
-        length(regexp_extract(line, '^[ \\t]*')) as lead_n, length(regexp_replace(regexp_extract(line, '^[ \\t]*'), '[^\\t]', '', 'g')) as tabs, regexp_extract_all(line, '[\\p{{L}}\\p{{N}}_][\\p{{L}}\\p{{N}}_''-]*') as words from l0),
+        length(regexp_extract(line, '^[ \t]*')) as lead_n, length(regexp_replace(regexp_extract(line, '^[ \t]*'), '[^\t]', '', 'g')) as tabs, regexp_extract_all(line, '[\p{{L}}\p{{N}}_][\p{{L}}\p{{N}}_''-]*') as words from l0),
     l2 as (select *, lag(body) over (partition by {key} order by n) = '' as below from l1),
     m0 as (select {key}, unnest(string_split(t, chr(10))) as line, generate_subscripts(string_split(t, chr(10)), 1) as n from d),
     m1 as (select *, coalesce(sum(length(line) + 1) over (partition by {key} order by n rows between unbounded preceding and 1 preceding), 0) as place from m0),
-    ev as (select {key}, place from m1 where regexp_matches(line, '^[ _-]*_{{3,}}[ _-]*$') or regexp_matches(line, '^[ _-]*-{{3,}}[ _-]*$') or regexp_matches(line, '^\\[Congressional Record Volume.*\\]$')
-        union all select {key}, place from l2 where below and body <> '' and lead_n + tabs > 2 and len(words) > 0 and len(list_filter(words, lambda w: regexp_matches(w, '^\\p{{Lu}}'))) * 2 >= len(words)
-        union all select {key}, place from l2 where body <> '' and lead_n + tabs * 14 >= 15 and regexp_matches(body, '[0-9]{{1,2}}, [0-9]{{4}}\\.?$')),
+    ev as (select {key}, place from m1 where regexp_matches(line, '^[ _-]*_{{3,}}[ _-]*$') or regexp_matches(line, '^[ _-]*-{{3,}}[ _-]*$') or regexp_matches(line, '^\[Congressional Record Volume.*\]$')
+        union all select {key}, place from l2 where below and body <> '' and lead_n + tabs > 2 and len(words) > 0 and len(list_filter(words, lambda w: regexp_matches(w, '^\p{{Lu}}'))) * 2 >= len(words)
+        union all select {key}, place from l2 where body <> '' and lead_n + tabs * 14 >= 15 and regexp_matches(body, '[0-9]{{1,2}}, [0-9]{{4}}\.?$')),
     nx as (select {key}, i, min(place) as marked from lab join ev using ({key}) where place >= start group by {key}, i),
     sp as (select lab.*, start + length(label) as stop, least(marked, lead(start) over (partition by lab.{key} order by lab.i)) as following from lab left join nx on nx.{key} = lab.{key} and nx.i = lab.i)
     select {key}, cast(i as integer) as speech_no, rtrim(trim(label, {_TRIMMED}), '.') as speaker, trim({cleaned}, {_TRIMMED}) as speech, cast(start as integer) as place from sp"""
