@@ -81,16 +81,25 @@ officer = node("officer", seq(token(r"[TF]h?e(?:[ \t\xa0]*\r?\n[ \t\xa0]*|[ \t\x
 closed = node("mark", first(full_stop, colon, dash))
 strong = node("mark", first(colon, dash))
 tail = seq(maybe(state), many(remark))
+# a name in capitals, or one to three words before a dash: looked for before words are read one by one
+capitals = token(r"(?=[A-Z][A-Z'’.0-9|~^·†])")
+dashed = token(r"(?=[A-Z]['’]?[A-Za-z'’-]+(?:[ \t\xa0]+[A-Z]['’]?[A-Za-z'’-]+){0,2}[ \t]*(?:--|—|–))")
 label = first(
-    seq(token(r"\["), first(officer, seq(honorific, first(upper_name, mixed_name), maybe(state))), token(r"\]"), maybe(closed)),
     seq(officer, many(remark), closed),
     seq(honorific, upper_name, tail, closed),
     seq(honorific, mixed_name, tail, strong),
-    seq(bare_upper, tail, colon),
+    seq(capitals, bare_upper, tail, colon),
     # a new sentence follows the dash
-    seq(unless(first(officer, opener)), bare_mixed, node("mark", dash), ahead(token(r"\s+[\"“'(\[<{]?[A-Z\d]"))),
+    seq(dashed, unless(first(officer, opener)), bare_mixed, node("mark", dash), ahead(token(r"\s+[\"“'(\[<{]?[A-Z\d]"))),
+)
+enclosed = seq(token(r"\["), first(officer, seq(honorific, first(upper_name, mixed_name), maybe(state))), token(r"\]"), maybe(closed))
+opening = seq(
+    maybe(blank),
+    first(
+        seq(ahead(token(r"[A-Z]")), node("label", label)),
+        seq(stamps, maybe(chevron), maybe(stamps), node("label", first(enclosed, label))),
+    ),
 )
-opening = seq(maybe(blank), stamps, maybe(chevron), maybe(stamps), node("label", label))
 
 #: Line starts with which an opening can begin.
 _LINE = re.compile(r"^[ \t\xa0]*(?=[A-Z\[({<>»\d])", re.M)
