@@ -66,8 +66,10 @@ def names_only_record(line: Column) -> Column:
 
 
 def is_seal(line: Column, up: Column) -> Column:
+    # the first word alone rules most lines out
+    likely = up.rlike(f"^[^A-Za-z]*(?:{'|'.join(SEAL_WORDS)})(?![A-Za-z])")
     words = F.regexp_extract_all(up, F.lit("[A-Za-z]+"), 0)
-    return (F.size(words) > 0) & (F.size(F.array_except(words, F.array(*map(F.lit, SEAL_WORDS)))) == 0) & more_than_half_capitals(line)
+    return likely & (F.size(words) > 0) & (F.size(F.array_except(words, F.array(*map(F.lit, SEAL_WORDS)))) == 0) & more_than_half_capitals(line)
 
 
 def is_heading_word(line: Column) -> Column:
@@ -86,7 +88,8 @@ def nearly_contains_record(line: Column) -> Column:
         return F.coalesce(F.when(F.length(up) >= size, hit), F.lit(False))
 
     # one edit leaves one half of the name as it is
-    possible = F.regexp_replace(up, "[^A-Z ]", "").rlike("CONGRESSI|NAL RECORD|ONAL RECOR")
+    between = "[^A-Z ]*"
+    possible = up.rlike("|".join(between.join(half) for half in ("CONGRESSI", "NAL RECORD", "ONAL RECOR")))
     return F.when(possible, near(19) | near(20) | near(21)).otherwise(F.lit(False))
 
 
