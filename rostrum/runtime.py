@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from pathlib import Path
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +33,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """The checkpoint folder as a path, if it lies in a file system that executors read by path."""
+    ensure_checkpoint_dir(spark)
+    named = urlparse(spark.sparkContext._jsc.sc().getCheckpointDir().get())
+    return unquote(named.path) if named.scheme in ("", "file") else None
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
